@@ -15,6 +15,12 @@ from pyspark.sql import types as T
 # The snapshot timestamp layout.
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS 'UTC'"
 
+# The CSV parser hands an unquoted empty field over as ``nullValue`` and a
+# quoted one (``""``) as ``emptyValue``, then nulls whatever equals
+# ``nullValue``.  Reading with a marker that never occurs in data as
+# ``nullValue`` keeps the two apart: empty -> NULL, ``""`` -> blank string.
+_READ_NULL_MARKER = "\ue000null\ue000"
+
 _CSV_OPTIONS = {
     "header": "true",
     "nullValue": "",
@@ -23,14 +29,22 @@ _CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
     "timestampFormat": TIMESTAMP_FORMAT,
     "dateFormat": "yyyy-MM-dd",
-    "multiLine": "false",
 }
 
 
-def read_feed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Scan a CSV feed with its declared schema (no inference pass)."""
+def read_feed_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """Scan a CSV feed with its declared schema (no inference pass).
+
+    Dirty values may hold quoted line breaks, so records may span lines
+    (``multi_line``).  A multi-line CSV file is read by one task, so feeds
+    should land as many files (as Spark writes them); pass
+    ``multi_line=False`` for feeds known to be one record per line, which
+    lets Spark split large files.
+    """
     return (spark.read.schema(schema).options(**_CSV_OPTIONS)
-            .option("emptyValue", "").option("mode", "FAILFAST").csv(path))
+            .option("nullValue", _READ_NULL_MARKER).option("emptyValue", "")
+            .option("multiLine", str(multi_line).lower())
+            .option("mode", "FAILFAST").csv(path))
 
 
 def write_feed_csv(df: DataFrame, path: str) -> None:
