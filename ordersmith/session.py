@@ -38,6 +38,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
              .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
              .config("spark.driver.memory", os.environ.get("ORDERSMITH_DRIVER_MEMORY", "8g"))
              .config("spark.sql.session.timeZone", "UTC")
+             # One machine: list partition folders on the driver rather
+             # than in a distributed listing job (a cluster keeps the default).
+             .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)

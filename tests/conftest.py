@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     # Tests own their checkpoint folder; a cluster names a shared one.
