@@ -32,6 +32,12 @@ _CSV_OPTIONS = {
 }
 
 
+def csv_read_options(multi_line: bool = True) -> dict:
+    """Reader options for the snapshot format (shared by batch and stream)."""
+    return {**_CSV_OPTIONS, "nullValue": _READ_NULL_MARKER, "emptyValue": "",
+            "multiLine": str(multi_line).lower(), "mode": "FAILFAST"}
+
+
 def read_feed_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
     """Scan a CSV feed with its declared schema (no inference pass).
 
@@ -41,10 +47,7 @@ def read_feed_csv(spark: SparkSession, path: str, schema: T.StructType, multi_li
     ``multi_line=False`` for feeds known to be one record per line, which
     lets Spark split large files.
     """
-    return (spark.read.schema(schema).options(**_CSV_OPTIONS)
-            .option("nullValue", _READ_NULL_MARKER).option("emptyValue", "")
-            .option("multiLine", str(multi_line).lower())
-            .option("mode", "FAILFAST").csv(path))
+    return spark.read.schema(schema).options(**csv_read_options(multi_line)).csv(path)
 
 
 def write_feed_csv(df: DataFrame, path: str) -> None:
