@@ -41,6 +41,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
              # One machine: list partition folders on the driver rather
              # than in a distributed listing job (a cluster keeps the default).
              .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
+             # PySpark records the Python call site of every column operation
+             # for error messages, several JVM round trips each; plan building
+             # is faster without (a static setting: only at session start).
+             .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)

@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     # Tests own their checkpoint folder; a cluster names a shared one.
