@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import as_of_col, count_true, day_diff, safe_ratio
@@ -154,13 +154,18 @@ def _most_used_currency(n: Column, currency: Column) -> Column:
 
 
 def primary_currency(counts: DataFrame) -> DataFrame:
-    """P25: one row per customer with at least one eligible order."""
+    """P25: one row per customer with at least one eligible order: the
+    currency with most eligible orders, ties to the smallest code, NULL
+    first.  A top-1 window over the (small) per-currency counts; the filter
+    on ``rn`` lets Catalyst limit each group to one row before the shuffle.
+    :func:`dim_customers` gets the same answer from ``min_by`` inside its
+    aggregation."""
     n = F.col("eligible_orders_in_currency")
-    return (counts.where(n > 0).groupBy(*CUSTOMER_KEYS)
-            .agg(F.min_by(F.struct(F.col("currency_canon").alias("primary_currency"),
-                                   n.alias("eligible_orders_in_currency")),
-                          F.struct(-n, F.col("currency_canon"))).alias("w"))
-            .select(*CUSTOMER_KEYS, "w.primary_currency", "w.eligible_orders_in_currency"))
+    w = Window.partitionBy(*CUSTOMER_KEYS).orderBy(n.desc(), F.col("currency_canon").asc_nulls_first())
+    return (counts.where(n > 0)
+            .withColumn("rn", F.row_number().over(w))
+            .where(F.col("rn") == 1)
+            .select(*CUSTOMER_KEYS, F.col("currency_canon").alias("primary_currency"), n))
 
 
 def multi_currency(counts: DataFrame) -> DataFrame:
