@@ -16,12 +16,16 @@ def feeds(spark):
 
 @pytest.fixture(scope="module")
 def canon(feeds):
-    return pipeline.canonical(*feeds, as_of=AS_OF).cache()
+    df = pipeline.canonical(*feeds, as_of=AS_OF).cache()
+    yield df
+    df.unpersist()  # cached plans would otherwise replace the plans other modules inspect
 
 
 @pytest.fixture(scope="module")
 def fact(canon):
-    return op.fact_orders(canon).cache()
+    df = op.fact_orders(canon).cache()
+    yield df
+    df.unpersist()
 
 
 def same_rows(a, b):
