@@ -60,6 +60,10 @@ def test_full_refresh_writes_every_table(spark):
     root = scratch_path(spark, "refresh")
     paths = pipeline.full_refresh(spark, m, s, root, AS_OF, write_staging=True, write_canonical=True)
     assert set(paths) == set(LAYOUTS)
+    fact = pipeline.fact(m, s, AS_OF)
+    for name, expected in pipeline.marts(fact, AS_OF).items():
+        written = spark.read.parquet(paths[name]).select(*expected.columns)
+        assert same_rows(written, expected), name
     assert spark.read.parquet(paths["mart_dim_customers"]).count() == 10
 
 
