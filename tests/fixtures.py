@@ -41,6 +41,10 @@ MARKETPLACE = [
     # A-7: zero total is eligible; lag of 3 days is late.
     (ts("2025-06-13 10:00"), "reports/2025-06-13.tsv", dt.date(2025, 6, 13), "A-7", ts("2025-06-10 10:00"),
      None, "UNSHIPPED", "MFN", 0.0, "CHF", "CH", "b7"),
+    # No purchase date: NULL flag set, future/too-old flags FALSE; blank id,
+    # and with no event time it loses the NULL-id group.
+    (ts("2025-06-20 10:00"), "reports/2025-06-20.tsv", None, "", None,
+     None, "pending", "MFN", 1.0, "EUR", "DE", "b9"),
 ]
 
 # id, created_at, processed_at, financial_status, fulfillment_status, currency,
@@ -82,4 +86,6 @@ STOREFRONT = [
     # No status and no customer: flags NULL, still eligible, not in the dimension.
     ("S-12", ts("2025-06-12 12:00"), None, None, None, "EUR", 3.0, None, None, None, "DE", "", None, None,
      False),
+    # No creation date and a blank id: loses the NULL-id group.
+    ("", None, None, "paid", None, "EUR", 2.0, None, None, None, "DE", "c9", None, None, False),
 ]

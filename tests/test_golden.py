@@ -51,6 +51,10 @@ def test_stage_marketplace_flags(raw):
     assert blank["dq_currency_is_null"] and blank["dq_currency_invalid_format"] is False
     assert blank["dq_order_total_is_null"] and blank["dq_fulfillment_channel_is_null"]
     assert rows[0]["order_total_numeric"] == Decimal("100.000000000")
+    undated = rows[-1]
+    assert undated["dq_purchase_date_is_null"] is True and undated["order_date"] is None
+    assert undated["dq_purchase_date_is_future"] is False and undated["dq_purchase_date_is_too_old"] is False
+    assert undated["dq_ingested_at_is_before_purchase_date"] is False
 
 
 def test_stage_storefront(raw):
@@ -62,6 +66,9 @@ def test_stage_storefront(raw):
     assert rows[4]["id_cleaned"] is None and rows[4]["dq_id_is_null"]
     assert rows[12]["dq_customer_id_is_null"] and rows[12]["customer_id_cleaned"] is None
     assert rows[8]["dq_currency_is_null"] and not rows[8]["dq_currency_invalid_format"]
+    undated = rows[-1]
+    assert undated["dq_created_at_is_null"] is True and undated["dq_created_at_is_future"] is False
+    assert undated["dq_id_is_null"] is True
 
 
 def test_canonical(raw):
@@ -91,9 +98,9 @@ def test_canonical(raw):
 def test_keep_null_ids(raw):
     stacked = pipeline.stacked(*raw, as_of=AS_OF)
     kept = op.dedupe_latest(stacked, keep_null_ids=True).where("global_order_id IS NULL").count()
-    assert kept == 3
+    assert kept == 5  # three marketplace and two storefront rows without an id
     assert op.fact_orders(op.canonical_orders(stacked, keep_null_ids=True)).where(
-        "global_order_id IS NULL").count() == 3
+        "global_order_id IS NULL").count() == 5
 
 
 def test_revenue_rule(fact):
