@@ -44,8 +44,9 @@ def canonical(raw_marketplace: DataFrame, raw_storefront: DataFrame, as_of: AsOf
     return canonical_orders(stacked(raw_marketplace, raw_storefront, as_of), keep_null_ids=keep_null_ids)
 
 
-def fact(raw_marketplace: DataFrame, raw_storefront: DataFrame, as_of: AsOf = None) -> DataFrame:
-    return fact_orders(canonical(raw_marketplace, raw_storefront, as_of))
+def fact(raw_marketplace: DataFrame, raw_storefront: DataFrame, as_of: AsOf = None,
+         keep_null_ids: bool = False) -> DataFrame:
+    return fact_orders(canonical(raw_marketplace, raw_storefront, as_of, keep_null_ids=keep_null_ids))
 
 
 def marts(fact_df: DataFrame, as_of: AsOf = None) -> dict[str, DataFrame]:
@@ -61,7 +62,7 @@ def marts(fact_df: DataFrame, as_of: AsOf = None) -> dict[str, DataFrame]:
 
 def full_refresh(spark: SparkSession, raw_marketplace: DataFrame, raw_storefront: DataFrame,
                  root: str, as_of: AsOf = None, write_staging: bool = False,
-                 write_canonical: bool = False) -> dict[str, str]:
+                 write_canonical: bool = False, keep_null_ids: bool = False) -> dict[str, str]:
     """Rebuild the tables under ``root`` (a shared folder); returns paths.
 
     The fact is written once and the five marts are built from the written
@@ -77,7 +78,7 @@ def full_refresh(spark: SparkSession, raw_marketplace: DataFrame, raw_storefront
         paths["stg_shopify_orders"] = write_named(stage_storefront(raw_storefront, as_of), root, "stg_shopify_orders")
         paths["int_amazon_shopify_orders"] = write_named(
             stacked(raw_marketplace, raw_storefront, as_of), root, "int_amazon_shopify_orders")
-    canon = canonical(raw_marketplace, raw_storefront, as_of)
+    canon = canonical(raw_marketplace, raw_storefront, as_of, keep_null_ids=keep_null_ids)
     if write_canonical:
         paths["int_orders_canonical"] = write_named(canon, root, "int_orders_canonical")
         canon = read_table(spark, paths["int_orders_canonical"], canon.schema)
