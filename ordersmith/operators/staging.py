@@ -1,7 +1,7 @@
 """Staging layer: keep every raw column, add cleaned columns and in-row
 data-quality flags.  Bad rows are flagged, never dropped, so each function
-is one narrow projection (no shuffle) that Catalyst collapses with its
-neighbours."""
+is narrow (projections only, no shuffle) and runs in the same stage as the
+scan that feeds it."""
 
 from __future__ import annotations
 
