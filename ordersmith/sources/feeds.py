@@ -1,5 +1,8 @@
 """The two raw order feeds, derived from the driver's TPC-H-style tables.
 
+Both feeds read their tables whole: the marketplace feed is every line item
+(joined to its order and customer), the storefront feed is every order.
+
 The reference pipeline reads a marketplace report feed and a storefront
 order feed.  Test data ships as ``lineitem``/``orders``/``customer``, so this
 adapter re-expresses those tables as the two feeds, with the dirt the
@@ -39,10 +42,10 @@ def _ship_country(nation: Column) -> Column:
 
 
 def marketplace_feed(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """One report row per line item of an even order key (orders repeat)."""
-    li = lineitem.where(F.col("l_orderkey") % 2 == 0).select(
-        "l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_shipdate")
-    o = orders.where(F.col("o_orderkey") % 2 == 0).select("o_orderkey", "o_custkey", "o_orderdate")
+    """One report row per line item, every line of every order (an order
+    repeats across its lines, as an order repeats across reports)."""
+    li = lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_shipdate")
+    o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     c = customer.select("c_custkey", "c_nationkey")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"]).join(c, o["o_custkey"] == c["c_custkey"])
 
@@ -83,9 +86,10 @@ def marketplace_feed(lineitem: DataFrame, orders: DataFrame, customer: DataFrame
 
 
 def storefront_feed(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """One row per odd order key, plus a later ``refunded`` version (processed
-    three days after creation) for keys divisible by 11."""
-    o = orders.where(F.col("o_orderkey") % 2 == 1).select(
+    """One row per order, plus a later ``refunded`` version (processed three
+    days after creation) for keys divisible by 11.  The storefront's ids
+    (``S-<key>``) never meet the marketplace's (``A-<key>``)."""
+    o = orders.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = customer.select("c_custkey", "c_nationkey")
     key = F.col("o_orderkey")
