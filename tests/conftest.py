@@ -30,3 +30,14 @@ def spark(tmp_path_factory):
     configure(s)
     yield s
     s.stop()
+
+
+def physical_plan(df) -> str:
+    """The physical plan text from the public ``explain`` output."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(extended=True)
+    return buf.getvalue().split("== Physical Plan ==", 1)[1]

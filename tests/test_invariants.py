@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from conftest import SMALL, physical_plan
 from ordersmith import operators as op
 from ordersmith.plans import pipeline
 from ordersmith.sources.feeds import AS_OF, feeds_from_dir
@@ -81,7 +81,7 @@ def test_one_pass_dimension_matches_joins(fact):
 
 
 def test_top1_plan_limits_before_shuffle(feeds):
-    plan = pipeline.canonical(*feeds, as_of=AS_OF)._jdf.queryExecution().executedPlan().toString()
+    plan = physical_plan(pipeline.canonical(*feeds, as_of=AS_OF))
     assert "WindowGroupLimit" in plan
 
 

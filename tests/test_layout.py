@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from conftest import physical_plan
 from fixtures import AS_OF, MARKETPLACE, STOREFRONT
 from ordersmith.plans import pipeline
 from ordersmith.plans.sinks import LAYOUTS, read_table, write_table
@@ -33,7 +34,7 @@ def test_partitioned_roundtrip_and_pruning(spark):
     assert same_rows(back, fact)  # the NULL date comes back from the default partition as NULL
     assert back.where("order_date IS NULL").count() == 1
     one_day = back.where(F.col("order_date") == F.lit("2025-06-01").cast("date"))
-    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    plan = physical_plan(one_day)
     assert "PartitionFilters: [isnotnull(order_date" in plan
     assert one_day.count() == fact.where("order_date = DATE'2025-06-01'").count()
 
@@ -57,7 +58,7 @@ def test_mart_layout_is_date_ordered(spark):
     assert all(a["hi"] < b["lo"] for a, b in zip(ranges, ranges[1:]))
     one_day = back.where(F.col("order_date") == F.lit("2005-06-01").cast("date"))
     assert "PushedFilters: [IsNotNull(order_date), EqualTo(order_date" in \
-        one_day._jdf.queryExecution().executedPlan().toString()
+        physical_plan(one_day)
 
 
 def test_full_refresh_writes_every_table(spark):

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from conftest import SMALL
+from conftest import SMALL, physical_plan
 from ordersmith import operators as op
 from ordersmith.plans import pipeline
 from ordersmith.plans.sinks import LAYOUTS, read_table, write_table
@@ -13,7 +13,7 @@ from ordersmith.sources.feeds import AS_OF, feeds_from_dir
 
 
 def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    return physical_plan(df)
 
 
 def hash_exchanges(p: str) -> int:
