@@ -190,12 +190,23 @@ DIM_COLUMNS = (
 
 
 def dim_customers(fact: DataFrame, as_of: _dt.date | str | None = None) -> DataFrame:
-    """P27 in one pass: aggregate to customer x source x currency, then to
-    customer x source.  Two hash shuffles and no join, against the
-    three-branch, two-join form in :func:`dim_customers_joined`."""
+    """P27 without joins, in three aggregation levels.
+
+    1. customer x source x currency x email, over the fact rows: only counts,
+       sums and date bounds, all fixed-width, so Spark runs it as a
+       HashAggregate with map-side combine.  Email is a grouping key here
+       rather than a ``min`` (a string aggregation buffer would force a
+       sort-based aggregate over the whole fact).
+    2. customer x source x currency, over the level-1 rows (small): the
+       eligible-order count per currency and the smallest email.
+    3. customer x source: lifetime metrics, the primary currency via
+       ``min_by`` and the number of currencies used.
+
+    Three exchanges, the last two over aggregated rows, against the
+    reference's three branches and two joins (:func:`dim_customers_joined`).
+    """
     elig = F.col("is_revenue_eligible")
-    per_currency = customer_base(fact).groupBy(*CUSTOMER_KEYS, "currency_canon").agg(
-        F.min("email").alias("email"),
+    per_email = customer_base(fact).groupBy(*CUSTOMER_KEYS, "currency_canon", "email").agg(
         F.min("order_date").alias("first_any"),
         F.max("order_date").alias("last_any"),
         F.min(_eligible_date()).alias("first_elig"),
@@ -203,6 +214,15 @@ def dim_customers(fact: DataFrame, as_of: _dt.date | str | None = None) -> DataF
         count_true(elig).alias("n"),
         F.sum("revenue_amount").alias("revenue"),
     )
+    per_currency = per_email.groupBy(*CUSTOMER_KEYS, "currency_canon").agg(
+        F.min("email").alias("email"),
+        F.min("first_any").alias("first_any"),
+        F.max("last_any").alias("last_any"),
+        F.min("first_elig").alias("first_elig"),
+        F.max("last_elig").alias("last_elig"),
+        F.sum("n").alias("n"),
+        F.sum("revenue").alias("revenue"),
+    )
     n = F.col("n")
     per_customer = per_currency.groupBy(*CUSTOMER_KEYS).agg(
         F.min("email").alias("any_email"),
