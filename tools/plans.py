@@ -39,7 +39,7 @@ def main() -> None:
         ("canonical_orders (raw feeds -> dedupe -> canonical)", canon),
         ("kpi_daily_currency (over the written fact)", op.kpi_daily_currency(written)),
         ("kpi_country_daily (over the written fact)", op.kpi_country_daily(written)),
-        ("dim_customers, one pass (over the written fact)", op.dim_customers(written, AS_OF)),
+        ("dim_customers, no join (over the written fact)", op.dim_customers(written, AS_OF)),
         ("dim_customers_joined, reference form (over the written fact)", op.dim_customers_joined(written, AS_OF)),
         ("kpi_freshness_lag (over the written fact)", op.kpi_freshness_lag(written)),
     ]:
