@@ -32,6 +32,8 @@ THRESHOLD = 0.8
 RECALL = 0.9999
 #: Classes of a bucket that are still paired as rows; larger ones go to blocks.
 SMALL = 8
+#: Ids (8 bytes each) that may be sent to every task, at most.
+SENT = 2_000_000
 #: Classes of a cluster that a task compares with as many others.
 BLOCK = 256
 
@@ -211,9 +213,11 @@ def link_documents(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     pair = written(pair, "jaccard-pairs")
 
     # the sets of those documents alone
-    wanted = pair.select(F.col("a").alias("w")).union(pair.select("b")).union(hot.select("c_rep")).distinct()
-    picked = texts(docs).join(wanted, F.col("doc_id") == F.col("w"), "left_semi").dropDuplicates(["doc_id"])
-    sets = written(_shingle_sets(picked), "jaccard-sets")
+    wanted = written(pair.select(F.col("a").alias("w")).union(pair.select("b")).union(hot.select("c_rep")).distinct(), "jaccard-wanted")
+    # few enough ids go to every task, and the texts stay where they are; else the texts are dealt out by id
+    few = wanted.count() <= SENT
+    picked = texts(docs).join(F.broadcast(wanted) if few else wanted, F.col("doc_id") == F.col("w"), "left_semi")
+    sets = written(_shingle_sets(picked).dropDuplicates(["rep"]), "jaccard-sets")
 
     with_a = pair.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
     with_b = with_a.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
