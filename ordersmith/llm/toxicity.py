@@ -252,14 +252,29 @@ def _weight(toxic: int, clean: int, t: int, c: int) -> float:
     return float(np.log((toxic + 0.5) / (t + 1)) - np.log((clean + 0.5) / (c + 1)))
 
 
+def _unlike(sample: DataFrame) -> DataFrame:
+    """One text of each group of copies, else the words of one much-copied text look
+    like patterns.  Near copies mostly share a MinHash minimum; three in turn leave few."""
+
+    def run(batches):
+        mh = T.MinHash(3)
+        for b in T.blocks(batches):
+            h, doc, _, _ = T.words(*T.utf8(T.column(b, "text")))
+            sig = mh.signatures(*T.shingles(h, doc, 5, b.num_rows), b.num_rows).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([T.column(b, "text"), T.column(b, "label"), *(pa.array(sig[:, i]) for i in range(3))], names=["text", "label", "m0", "m1", "m2"])
+
+    out = sample.mapInArrow(run, "text string, label int, m0 long, m1 long, m2 long")
+    for m in ("m0", "m1", "m2"):
+        out = out.groupBy(m).agg(F.min(F.struct(F.hash("text").alias("h"), "text", "label", *(k for k in ("m0", "m1", "m2") if k != m))).alias("r")).select(m, "r.*").drop("h")
+    return out.select("text", "label")
+
+
 def train(docs: DataFrame, labels: DataFrame, fold: Column | None = None, most: int = LABELLED) -> Grammar:
     """Learn the lexicon and weights from a bounded sample of labelled texts (``labels.toxic``);
     ``fold`` says which labels may be used, by ``l_id``."""
     from .common import written
 
-    # equal texts count once, else the words of one much-copied text look like patterns
-    sample = labelled_sample(docs, labels, "toxic", most, fold).groupBy("text").agg(F.max("label").alias("label"))
-    sample = written(sample, "toxic-sample")
+    sample = written(_unlike(labelled_sample(docs, labels, "toxic", most, fold)), "toxic-sample")
     cand, t, c = _candidates(sample)
     g = Grammar()
     if not cand:
@@ -283,7 +298,7 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column | None = None, most:
         # gain: texts newly covered, less what clean texts would be caught for them
         def gain(key):
             x, y, w = info[key]
-            return (len(live[key]) - 5.0 * y * t / max(c, 1), w, x, key[0] == "p", key[1])  # noqa: B023
+            return (len(live[key]) - 5.0 * y * t / max(c, 1), w, x, key[0] == "w", key[1])  # noqa: B023
 
         best = max(live, key=gain)
         if gain(best)[0] < 2:
@@ -292,6 +307,13 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column | None = None, most:
         covered |= live[best]
         live = {k: r for k, v in live.items() if (r := v - covered)}
 
+    # patterns that covering had no need of, as texts often hold several, but that stand on their own
+    enough = max(4, 0.015 * t)
+    for kind, p, x, y in sorted(cand, key=lambda r: (-r[2], r[0] == "p", r[1])):
+        known = any(p.startswith(q) and len(p) > len(q) or p == q for q in g.prefixes) or p in g.words or (kind == "p" and any(q.startswith(p) for q in (*g.words, *g.prefixes)))
+        if x >= enough and info[kind, p][2] >= 3.0 and y <= 0.02 * x and not known:
+            (g.words if kind == "w" else g.prefixes)[p] = info[kind, p][2]
+
     # weights of the matched forms: how much more often clauses of that form stand in toxic texts, with a prior
     def matched(batches):
         reader = Reader(g)
