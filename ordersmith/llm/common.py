@@ -54,3 +54,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Ids (8 bytes each) that may be sent to every task, at most.
+SENT = 2_000_000
+
+
+def sendable(ids: DataFrame) -> DataFrame:
+    """A written table of ids, marked to go to every task if their count allows; the
+    join of a larger one deals both sides out by id."""
+    return F.broadcast(ids) if ids.count() <= SENT else ids

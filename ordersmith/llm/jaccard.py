@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import texts, written
+from .common import sendable, texts, written
 from .graph import components
 
 SHINGLE = 5
@@ -32,8 +32,6 @@ THRESHOLD = 0.8
 RECALL = 0.9999
 #: Classes of a bucket that are still paired as rows; larger ones go to blocks.
 SMALL = 8
-#: Ids (8 bytes each) that may be sent to every task, at most.
-SENT = 2_000_000
 #: Classes of a cluster that a task compares with as many others.
 BLOCK = 256
 
@@ -215,8 +213,7 @@ def link_documents(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     # the sets of those documents alone
     wanted = written(pair.select(F.col("a").alias("w")).union(pair.select("b")).union(hot.select("c_rep")).distinct(), "jaccard-wanted")
     # few enough ids go to every task, and the texts stay where they are; else the texts are dealt out by id
-    few = wanted.count() <= SENT
-    picked = texts(docs).join(F.broadcast(wanted) if few else wanted, F.col("doc_id") == F.col("w"), "left_semi")
+    picked = texts(docs).join(sendable(wanted), F.col("doc_id") == F.col("w"), "left_semi")
     sets = written(_shingle_sets(picked).dropDuplicates(["rep"]), "jaccard-sets")
 
     with_a = pair.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
@@ -248,8 +245,8 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, recall: float = R
     """The rows, all columns, without those that a link or an equal shingle set joins to
     a smaller id.  Of rows repeated with one id and text one stays; rows with a null id stay."""
     linked = written(link_documents(docs, threshold, recall).select(F.col("doc_id").alias("j_id"), "class_id"), "jaccard-kept")
-    gone = linked.where("j_id <> class_id").select("j_id").distinct()
-    left = docs.join(gone, docs["doc_id"] == gone["j_id"], "left_anti")
+    gone = written(linked.where("j_id <> class_id").select("j_id").distinct(), "jaccard-gone")
+    left = docs.join(sendable(gone), docs["doc_id"] == gone["j_id"], "left_anti")
     # repeated ids are few: only their rows are compared by text
     again = written(linked.where("j_id is not null").groupBy("j_id").agg(F.count("*").alias("n")).where("n > 1").select("j_id"), "jaccard-again")
     if again.isEmpty():

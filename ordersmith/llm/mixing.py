@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import written
+from .common import sendable, written
 
 #: Words, as every engine's regular expressions read them.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -128,4 +128,4 @@ def mix_sources(docs: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
 def keep_mixed(docs: DataFrame, mix: Mix) -> DataFrame:
     """The rows, all columns, that the mixture takes tokens of, whole and once."""
     ids = written(mix_sources(docs, mix).select(F.col("doc_id").alias("m_id")).distinct(), "mix-kept")
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["m_id"]), "left_semi")
+    return docs.join(sendable(ids), docs["doc_id"].eqNullSafe(ids["m_id"]), "left_semi")
