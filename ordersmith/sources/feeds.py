@@ -132,23 +132,9 @@ def storefront_feed(orders: DataFrame, customer: DataFrame) -> DataFrame:
     return conform(out, STOREFRONT_RAW)
 
 
-def spread(df: DataFrame, spark: SparkSession) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has
-    task slots (a small file with one row group is read by one task, and
-    every narrow step after it would run in that one task too).  A scan of
-    many files already has enough splits and is returned unchanged, so no
-    shuffle is added at scale."""
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
-
-
 def load_tables(spark: SparkSession, sf_dir: str, names=("lineitem", "orders", "customer")) -> dict:
-    # customer is only ever the small (broadcast) side; spreading it would
-    # add a stage for nothing.
-    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") if n == "customer"
-            else spread(spark.read.parquet(f"{sf_dir}/{n}.parquet"), spark) for n in names}
+    """The tables as they are scanned: nothing is repartitioned by size."""
+    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
 
 
 def feeds_from_dir(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

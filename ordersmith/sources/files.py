@@ -23,6 +23,7 @@ _READ_NULL_MARKER = "\ue000null\ue000"
 
 _CSV_OPTIONS = {
     "header": "true",
+    "escape": '"',  # a quote inside a quoted field is doubled; a backslash is an ordinary character
     "nullValue": "",
     "emptyValue": '""',
     "ignoreLeadingWhiteSpace": "false",

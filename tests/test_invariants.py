@@ -83,13 +83,3 @@ def test_one_pass_dimension_matches_joins(fact):
 def test_top1_plan_limits_before_shuffle(feeds):
     plan = physical_plan(pipeline.canonical(*feeds, as_of=AS_OF))
     assert "WindowGroupLimit" in plan
-
-
-def test_spread_only_when_scan_is_narrow(spark):
-    from ordersmith.sources.feeds import spread
-
-    slots = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, 1, slots + 3)
-    assert spread(wide, spark) is wide  # enough splits already: no shuffle added
-    narrow = spark.range(0, 1000, 1, 1)
-    assert spread(narrow, spark).rdd.getNumPartitions() == slots
