@@ -15,7 +15,6 @@ from .text import (
     clean_upper,
     invalid_country,
     invalid_currency,
-    is_blank,
     strip,
 )
 
@@ -23,6 +22,6 @@ __all__ = [
     "ALLOWED_CHANNELS", "ALLOWED_STATUSES", "MIN_VALID_DATE", "NUMERIC",
     "WHITESPACE", "as_of_col", "canonical_status", "clean", "clean_upper",
     "count_true", "day_diff", "invalid_country", "invalid_currency",
-    "is_blank", "map_fulfillment_channel", "map_status", "round_money",
+    "map_fulfillment_channel", "map_status", "round_money",
     "safe_ratio", "source_file_date", "strip", "to_numeric",
 ]

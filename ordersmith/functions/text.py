@@ -44,11 +44,6 @@ def clean_upper(c: Column | str) -> Column:
     return F.upper(clean(c))
 
 
-def is_blank(c: Column | str) -> Column:
-    """True when the value is NULL or only whitespace (never NULL itself)."""
-    return clean(c).isNull()
-
-
 def invalid_format(c: Column | str, pattern: str) -> Column:
     """True when a present value does not match ``pattern``; FALSE for NULL."""
     c = _col(c)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import as_of_col, count_true, day_diff, safe_ratio
 
 
+# The fact's carried columns, in output order.
 FACT_CARRIED = (
     "global_order_id", "source_system", "order_id", "global_customer_id", "customer_id", "email",
     "order_date", "order_created_at", "order_processed_at", "order_updated_at", "order_event_ts",
@@ -62,7 +63,7 @@ def fact_orders(canonical: DataFrame) -> DataFrame:
 def _distinct_orders(orders_unique: bool) -> Column:
     # After dedupe each non-NULL global_order_id occurs once, so the exact
     # distinct count equals the non-NULL count; that form needs no Expand
-    # and no extra shuffle.  Pass orders_unique=False for other inputs.
+    # and no extra shuffle.  Only a caller that has deduplicated may say so.
     if orders_unique:
         return F.count("global_order_id")
     return F.count_distinct("global_order_id")
@@ -78,7 +79,7 @@ def _eligible_revenue_metrics() -> list[Column]:
     ]
 
 
-def kpi_daily_currency(fact: DataFrame, orders_unique: bool = True) -> DataFrame:
+def kpi_daily_currency(fact: DataFrame, orders_unique: bool = False) -> DataFrame:
     """Per order_date x source_system x currency_canon."""
     n = F.count(F.lit(1))
     return fact.groupBy("order_date", "source_system", "currency_canon").agg(
@@ -92,7 +93,7 @@ def kpi_daily_currency(fact: DataFrame, orders_unique: bool = True) -> DataFrame
     )
 
 
-def kpi_country_daily(fact: DataFrame, orders_unique: bool = True) -> DataFrame:
+def kpi_country_daily(fact: DataFrame, orders_unique: bool = False) -> DataFrame:
     """Per order_date x source_system x shipping_country_canon x currency_canon."""
     return fact.groupBy("order_date", "source_system", "shipping_country_canon", "currency_canon").agg(
         _distinct_orders(orders_unique).alias("orders_total"),
@@ -101,7 +102,7 @@ def kpi_country_daily(fact: DataFrame, orders_unique: bool = True) -> DataFrame:
     )
 
 
-def kpi_status_daily(fact: DataFrame, orders_unique: bool = True) -> DataFrame:
+def kpi_status_daily(fact: DataFrame, orders_unique: bool = False) -> DataFrame:
     """Per order_date x source_system x order_status_canon."""
     return fact.groupBy("order_date", "source_system", "order_status_canon").agg(
         _distinct_orders(orders_unique).alias("orders"),
@@ -202,8 +203,8 @@ def dim_customers(fact: DataFrame, as_of: _dt.date | str | None = None) -> DataF
     3. customer x source: lifetime metrics, the primary currency via
        ``min_by`` and the number of currencies used.
 
-    Three exchanges, the last two over aggregated rows, against the
-    reference's three branches and two joins (:func:`dim_customers_joined`).
+    Three exchanges, the last two over aggregated rows, against
+    three branches and two joins in :func:`dim_customers_joined`.
     """
     elig = F.col("is_revenue_eligible")
     per_email = customer_base(fact).groupBy(*CUSTOMER_KEYS, "currency_canon", "email").agg(
@@ -239,8 +240,8 @@ def dim_customers(fact: DataFrame, as_of: _dt.date | str | None = None) -> DataF
 
 
 def dim_customers_joined(fact: DataFrame, as_of: _dt.date | str | None = None) -> DataFrame:
-    """P27 as the reference writes it: lifetime aggregate left-joined (USING
-    both keys) to the primary currency and the currency count."""
+    """P27 with J01: the lifetime aggregate left-joined on both customer keys
+    to the primary currency and the currency count."""
     counts = currency_counts(fact)
     joined = (customer_lifetime(fact)
               .join(primary_currency(counts).drop("eligible_orders_in_currency"), list(CUSTOMER_KEYS), "left")
@@ -248,7 +249,7 @@ def dim_customers_joined(fact: DataFrame, as_of: _dt.date | str | None = None) -
     return _recency(joined, as_of).select(*DIM_COLUMNS)
 
 
-def kpi_freshness_lag(fact: DataFrame, orders_unique: bool = True) -> DataFrame:
+def kpi_freshness_lag(fact: DataFrame, orders_unique: bool = False) -> DataFrame:
     """Per ingest_date x source_system over the deduplicated fact: rows and
     orders loaded, average and maximum lag in days, rows later than 2 days."""
     lag = day_diff(F.col("ingest_date"), F.col("order_date"))

@@ -59,7 +59,7 @@ def stage_marketplace(raw: DataFrame, as_of: _dt.date | str | None = None) -> Da
         "order_status_cleaned": map_status(c("order_status_raw")),
         "fulfillment_channel_cleaned": map_fulfillment_channel(c("fulfillment_channel_raw")),
     })
-    total = c("order_total")
+    total = c("order_total_numeric")  # NULL for NaN too, which so counts as missing
     purchased, ingested, updated = c("purchase_date"), c("ingested_at"), c("last_updated_date")
     p_null, p_future, p_old = _date_checks(purchased, c("order_date"), today)
     currency, status, channel, country = (
@@ -128,7 +128,7 @@ def stage_storefront(raw: DataFrame, as_of: _dt.date | str | None = None) -> Dat
         clean("financial_status").alias("financial_status_raw"),
         clean("fulfillment_status").alias("fulfillment_status_raw"),
     )
-    created, total = c("created_at"), c("total_price")
+    created, total = c("created_at"), c("total_price_numeric")
     c_null, c_future, c_old = _date_checks(created, c("order_date"), today)
     currency, country = c("currency_cleaned"), c("shipping_country_cleaned")
     return cleaned.select(

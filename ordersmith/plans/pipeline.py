@@ -28,6 +28,7 @@ from ..operators import (
     unify_marketplace,
     unify_storefront,
 )
+from ..session import require
 from .sinks import read_table, write_named
 
 AsOf = _dt.date | str | None
@@ -50,13 +51,13 @@ def fact(raw_marketplace: DataFrame, raw_storefront: DataFrame, as_of: AsOf = No
 
 
 def marts(fact_df: DataFrame, as_of: AsOf = None) -> dict[str, DataFrame]:
-    """The five marts of one fact, keyed by table name."""
+    """The five marts of one fact (one row per order), keyed by table name."""
     return {
-        "mart_kpi_orders_daily_currency": kpi_daily_currency(fact_df),
-        "mart_kpi_orders_country_daily_currency": kpi_country_daily(fact_df),
-        "mart_kpi_orders_status_daily": kpi_status_daily(fact_df),
+        "mart_kpi_orders_daily_currency": kpi_daily_currency(fact_df, orders_unique=True),
+        "mart_kpi_orders_country_daily_currency": kpi_country_daily(fact_df, orders_unique=True),
+        "mart_kpi_orders_status_daily": kpi_status_daily(fact_df, orders_unique=True),
         "mart_dim_customers": dim_customers(fact_df, as_of),
-        "mart_kpi_freshness_lag": kpi_freshness_lag(fact_df),
+        "mart_kpi_freshness_lag": kpi_freshness_lag(fact_df, orders_unique=True),
     }
 
 
@@ -65,26 +66,32 @@ def full_refresh(spark: SparkSession, raw_marketplace: DataFrame, raw_storefront
                  write_canonical: bool = False, keep_null_ids: bool = False) -> dict[str, str]:
     """Rebuild the tables under ``root`` (a shared folder); returns paths.
 
-    The fact is written once and the five marts are built from the written
-    table: each mart reads only its columns from Parquet, and a lost
-    executor re-reads files instead of recomputing the dedupe.  Staging,
-    the stacked table and the canonical table are narrow steps of the same
-    plan; they are written only when asked, since at scale each is another
-    full copy of the order data.
+    Each table that is written is read back by the steps after it, so a raw
+    feed is scanned once and a lost executor costs a file read.  The fact is
+    always written; staging, the stacked table and the canonical table are
+    narrow steps before it and written only when asked, since at scale each is
+    another full copy of the order data.  Refuses a session that is not set to
+    UTC and ANSI; a missing ``as_of`` is today, resolved once for all tables.
     """
+    require(spark)
+    if as_of is None:
+        as_of = spark.sql("SELECT current_date() AS today").first()["today"]
     paths: dict[str, str] = {}
+
+    def landed(df: DataFrame, name: str) -> DataFrame:
+        paths[name] = write_named(df, root, name)
+        return read_table(spark, paths[name], df.schema)
+
+    m, s = stage_marketplace(raw_marketplace, as_of), stage_storefront(raw_storefront, as_of)
+    if write_staging:
+        m, s = landed(m, "stg_amazon_orders"), landed(s, "stg_shopify_orders")
+    stack = stack_orders(unify_marketplace(m), unify_storefront(s))
     if write_staging:
-        paths["stg_amazon_orders"] = write_named(stage_marketplace(raw_marketplace, as_of), root, "stg_amazon_orders")
-        paths["stg_shopify_orders"] = write_named(stage_storefront(raw_storefront, as_of), root, "stg_shopify_orders")
-        paths["int_amazon_shopify_orders"] = write_named(
-            stacked(raw_marketplace, raw_storefront, as_of), root, "int_amazon_shopify_orders")
-    canon = canonical(raw_marketplace, raw_storefront, as_of, keep_null_ids=keep_null_ids)
+        stack = landed(stack, "int_amazon_shopify_orders")
+    canon = canonical_orders(stack, keep_null_ids=keep_null_ids)
     if write_canonical:
-        paths["int_orders_canonical"] = write_named(canon, root, "int_orders_canonical")
-        canon = read_table(spark, paths["int_orders_canonical"], canon.schema)
-    fact_df = fact_orders(canon)
-    paths["mart_fact_orders"] = write_named(fact_df, root, "mart_fact_orders")
-    fact_back = read_table(spark, paths["mart_fact_orders"], fact_df.schema)
+        canon = landed(canon, "int_orders_canonical")
+    fact_back = landed(fact_orders(canon), "mart_fact_orders")
     for name, df in marts(fact_back, as_of).items():
         paths[name] = write_named(df, root, name)
     return paths

@@ -142,15 +142,23 @@ def revenue_rule(spark, sf_dir):
 
 
 def kpi_daily_currency(spark, sf_dir):
-    return present(op.kpi_daily_currency(_fact(spark, sf_dir)))
+    return present(op.kpi_daily_currency(_fact(spark, sf_dir), orders_unique=True))
 
 
 def kpi_country_daily(spark, sf_dir):
-    return present(op.kpi_country_daily(_fact(spark, sf_dir)))
+    return present(op.kpi_country_daily(_fact(spark, sf_dir), orders_unique=True))
 
 
 def kpi_status_daily(spark, sf_dir):
-    return present(op.kpi_status_daily(_fact(spark, sf_dir)))
+    return present(op.kpi_status_daily(_fact(spark, sf_dir), orders_unique=True))
+
+
+def kpi_daily_currency_exact(spark, sf_dir):
+    """A02: exact distinct orders and customers over the stacked rows, where an
+    order may occur many times (no dedupe before the revenue rule)."""
+    m, s = feeds_from_dir(spark, sf_dir)
+    rows = op.canonical.standardize(pipeline.stacked(m, s, AS_OF))
+    return present(op.kpi_daily_currency(op.revenue_rule(rows)))
 
 
 def customer_lifetime(spark, sf_dir):
@@ -178,7 +186,7 @@ def dim_customers_joined(spark, sf_dir):
 
 
 def kpi_freshness_lag(spark, sf_dir):
-    return present(op.kpi_freshness_lag(_fact(spark, sf_dir)))
+    return present(op.kpi_freshness_lag(_fact(spark, sf_dir), orders_unique=True))
 
 
 def sink_roundtrip(spark, sf_dir):
@@ -191,8 +199,8 @@ def sink_roundtrip(spark, sf_dir):
 
 
 def raw_csv_scan(spark, sf_dir):
-    """Write both raw feeds as CSV snapshots (header, empty = NULL, ``UTC``
-    timestamps), scan them back with the declared schemas (S01, S02, S07)
+    """Write both raw feeds as CSV snapshots (header, empty = NULL, time
+    stamps with their zone), scan them back with the declared schemas (S01, S02, S07)
     and stack them."""
     m, s = feeds_from_dir(spark, sf_dir)
     m_path, s_path = scratch_path(spark, "very_raw_amazon_orders"), scratch_path(spark, "very_raw_shopify_orders")
@@ -208,7 +216,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     unify_amazon, unify_shopify, stack_orders, dedupe_latest,
     canonical_status, canonical_money, canonical_geo, canonical_flags_dq, canonical_event_time,
     canonical_orders, fact_orders, revenue_rule,
-    kpi_daily_currency, kpi_country_daily, kpi_status_daily,
+    kpi_daily_currency, kpi_daily_currency_exact, kpi_country_daily, kpi_status_daily,
     customer_lifetime, currency_counts, primary_currency, multi_currency,
     dim_customers, dim_customers_joined, kpi_freshness_lag,
     sink_roundtrip, raw_csv_scan,

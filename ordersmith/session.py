@@ -1,22 +1,25 @@
 """Session settings the pipeline relies on, and the shared checkpoint folder.
 
-On a cluster the session is created by the platform; :func:`configure` only
-fills in what is unset, so cluster-wide settings win.
+On a cluster the session is created by the platform; :func:`configure` sets
+what results depend on and fills in the rest where it is unset.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the results depend on (UTC dates, ANSI casts) and the runtime
-# re-planning the plans are written for (AQE coalescing and skew splitting).
-REQUIRED = {
+# Settings the results depend on: UTC dates and ANSI casts.
+RESULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+}
+# The runtime re-planning that the plans are written for (AQE coalescing and skew splitting).
+PLANNING = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -25,12 +28,21 @@ REQUIRED = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    for k, v in REQUIRED.items():
-        if k == "spark.sql.session.timeZone" or spark.conf.get(k, None) is None:
+    for k, v in RESULTS.items():
+        spark.conf.set(k, v)
+    for k, v in PLANNING.items():
+        if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
     return spark
 
 
+def require(spark: SparkSession) -> None:
+    """Refuse a session whose settings would change results without an error."""
+    wrong = {k: spark.conf.get(k, None) for k, v in RESULTS.items() if (spark.conf.get(k, None) or "").lower() != v.lower()}
+    if wrong:
+        raise ValueError(f"call ordersmith.session.configure(spark) first; these settings differ from what results depend on: {wrong}")
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ordersmith") -> SparkSession:
     """A local session for tests and the bench (Spark UI off)."""
     spark = (SparkSession.builder.master(f"local[{cores}]").appName(app)
@@ -54,12 +66,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the platform (a shared filesystem every
-    executor can reach).  Only when it is unset, as in local tests, a folder
-    of our own is created and registered.
+    executor can reach), and it is an error if it is not.  Only in local mode
+    a folder of our own is created and registered.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
         d = tempfile.mkdtemp(prefix="ordersmith-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d

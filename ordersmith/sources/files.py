@@ -2,7 +2,8 @@
 
 The snapshot format: a header row, an empty field for NULL, ``true``/
 ``false`` booleans and timestamps written as
-``2025-12-06 11:06:00.000000 UTC``.  Blank strings are written quoted so
+``2025-12-06 11:06:00.000000 UTC`` (the fraction is optional when read; the
+zone is parsed, so the session's zone does not matter).  Blank strings are written quoted so
 they stay blank (not NULL), and padding is kept: leading and trailing
 spaces are part of the dirt the pipeline must clean.
 """
@@ -13,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # The snapshot timestamp layout.
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS 'UTC'"
+TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS VV"
+TIMESTAMP_READ_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS] VV"
 
 # The CSV parser hands an unquoted empty field over as ``nullValue`` and a
 # quoted one (``""``) as ``emptyValue``, then nulls whatever equals
@@ -30,23 +32,22 @@ _CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
     "timestampFormat": TIMESTAMP_FORMAT,
     "dateFormat": "yyyy-MM-dd",
+    "timeZone": "UTC",
 }
 
 
-def csv_read_options(multi_line: bool = True) -> dict:
+def csv_read_options(multi_line: bool = False) -> dict:
     """Reader options for the snapshot format (shared by batch and stream)."""
     return {**_CSV_OPTIONS, "nullValue": _READ_NULL_MARKER, "emptyValue": "",
-            "multiLine": str(multi_line).lower(), "mode": "FAILFAST"}
+            "timestampFormat": TIMESTAMP_READ_FORMAT, "multiLine": str(multi_line).lower(), "mode": "FAILFAST"}
 
 
-def read_feed_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+def read_feed_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """Scan a CSV feed with its declared schema (no inference pass).
 
-    Dirty values may hold quoted line breaks, so records may span lines
-    (``multi_line``).  A multi-line CSV file is read by one task, so feeds
-    should land as many files (as Spark writes them); pass
-    ``multi_line=False`` for feeds known to be one record per line, which
-    lets Spark split large files.
+    One record per line by default, so that Spark can split large files.  Pass
+    ``multi_line=True`` for feeds whose quoted values hold line breaks; each of
+    their files is read by one task, so they should land as many files.
     """
     return spark.read.schema(schema).options(**csv_read_options(multi_line)).csv(path)
 

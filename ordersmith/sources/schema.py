@@ -74,9 +74,3 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select ``schema``'s columns by name, cast to its types (extra input
     columns are dropped).  A cheap projection; raises if a column is missing."""
     return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
-def assert_columns(df: DataFrame, names) -> None:
-    missing = [n for n in names if n not in df.columns]
-    if missing:
-        raise ValueError(f"missing columns: {missing}")

@@ -25,10 +25,11 @@ _FEEDS = {
 
 
 def stage_feed_stream(spark: SparkSession, path: str, feed: str,
-                      as_of: _dt.date | str | None = None) -> DataFrame:
-    """A streaming DataFrame of staged rows for CSV files landing in ``path``."""
+                      as_of: _dt.date | str | None = None, multi_line: bool = False) -> DataFrame:
+    """A streaming DataFrame of staged rows for CSV files landing in ``path``
+    (``multi_line`` as in :func:`ordersmith.sources.files.read_feed_csv`)."""
     schema, stage = _FEEDS[feed]
-    raw = spark.readStream.schema(schema).options(**csv_read_options()).csv(path)
+    raw = spark.readStream.schema(schema).options(**csv_read_options(multi_line)).csv(path)
     return stage(raw, as_of)
 
 

@@ -12,7 +12,7 @@ def test_stream_staging_matches_batch(spark):
     raw = spark.createDataFrame(MARKETPLACE, MARKETPLACE_RAW)
     landing = scratch_path(spark, "landing")
     write_feed_csv(raw, landing)
-    staged = stage_feed_stream(spark, landing, "marketplace", AS_OF)
+    staged = stage_feed_stream(spark, landing, "marketplace", AS_OF, multi_line=True)
     assert staged.isStreaming
     table, ckpt = scratch_path(spark, "stg_stream"), scratch_path(spark, "stg_stream_ckpt")
     q = land_staged(staged, table, ckpt)

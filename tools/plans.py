@@ -37,11 +37,11 @@ def main() -> None:
     written = read_table(spark, path, fact.schema)
     for title, df in [
         ("canonical_orders (raw feeds -> dedupe -> canonical)", canon),
-        ("kpi_daily_currency (over the written fact)", op.kpi_daily_currency(written)),
-        ("kpi_country_daily (over the written fact)", op.kpi_country_daily(written)),
+        ("kpi_daily_currency (over the written fact)", op.kpi_daily_currency(written, orders_unique=True)),
+        ("kpi_country_daily (over the written fact)", op.kpi_country_daily(written, orders_unique=True)),
         ("dim_customers, no join (over the written fact)", op.dim_customers(written, AS_OF)),
         ("dim_customers_joined, reference form (over the written fact)", op.dim_customers_joined(written, AS_OF)),
-        ("kpi_freshness_lag (over the written fact)", op.kpi_freshness_lag(written)),
+        ("kpi_freshness_lag (over the written fact)", op.kpi_freshness_lag(written, orders_unique=True)),
     ]:
         print(f"### {title}\n\n```\n{tree(df)}\n```\n")
     spark.stop()
