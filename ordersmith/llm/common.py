@@ -61,6 +61,7 @@ SENT = 2_000_000
 
 
 def sendable(ids: DataFrame) -> DataFrame:
-    """A written table of ids, marked to go to every task if their count allows; the
-    join of a larger one deals both sides out by id."""
-    return F.broadcast(ids) if ids.count() <= SENT else ids
+    """A written table of ids, marked to go to every task if their count allows.  The
+    join of a larger one deals both sides out by id and hashes the ids of a
+    partition, so that the texts on the other side are neither sorted nor spilled."""
+    return F.broadcast(ids) if ids.count() <= SENT else ids.hint("shuffle_hash")
