@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import sendable, written
+from .common import written
 
 #: Words, as every engine's regular expressions read them.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -52,10 +52,13 @@ def domain_of(source: Column) -> Column:
     return F.when(n == "", "tail").when(n.cast("int") % 5 == 0, "core").when(n.cast("int") % 5 <= 2, "wide").otherwise("tail")
 
 
+def _named(level: Column) -> Column:
+    return F.coalesce(level.cast("string"), F.lit("unknown"))
+
+
 def leaves_of(docs: DataFrame) -> DataFrame:
     """``doc_id``, text, tree levels and token count of each row."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-                    F.coalesce(F.col("lang").cast("string"), F.lit("unknown")).alias("lang"), F.coalesce(F.col("source").cast("string"), F.lit("unknown")).alias("source"))
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), _named(F.col("lang")).alias("lang"), _named(F.col("source")).alias("source"))
     return d.withColumns({"domain": domain_of(F.col("source")), "tokens": F.size(F.split(F.concat(F.lit(" "), "text"), "[\\x20\\x09-\\x0D]+(?=[^\\x20\\x09-\\x0D])")).cast("long") - 1})
 
 
@@ -98,34 +101,74 @@ def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     return n.select(*LEVELS, "tokens", F.floor(F.col("budget") + 1e-6).cast("long").alias("budget"))
 
 
-def mix_sources(docs: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
-    """Rows ``doc_id, domain, lang, source, tokens, epoch, taken``: how many tokens of
-    which document each epoch gives; ``taken`` is at least 1."""
-    d = leaves_of(docs)
-    # md5 is the same in every engine; its first 12 bits are the slice
-    one = d.select("doc_id", *LEVELS, "tokens", F.md5("text").alias("h")).where("tokens > 0")
-    one = written(one, "mix-docs")
-    plan = budgets(one, mix)
+def _key(mix: Mix, epoch: Column, doc_id: Column, h: Column) -> Column:
+    """A row's place in an epoch's order; its first three digits are the slice.  Equal only for equal id and text."""
+    return F.md5(F.concat_ws("|", F.lit(str(mix.seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("")), h).cast("binary"))
+
+
+def _narrow(docs: DataFrame) -> DataFrame:
+    """Each row with tokens, without its text: id, leaf, tokens and the md5 of the text."""
+    return written(leaves_of(docs).select("doc_id", *LEVELS, "tokens", F.md5("text").alias("h")).where("tokens > 0"), "mix-docs")
+
+
+def _epochs(one: DataFrame, mix: Mix) -> DataFrame:
+    """Each row once per epoch, with its ``key`` and ``slice`` there."""
     e = one.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(mix.epochs - 1))))
-    e = e.withColumn("key", F.md5(F.concat_ws("|", F.lit(str(mix.seed)), F.col("epoch").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("h")).cast("binary")))
-    e = e.withColumn("slice", F.conv(F.substring("key", 1, 3), 16, 10).cast("int"))
+    e = e.withColumn("key", _key(mix, F.col("epoch"), F.col("doc_id"), F.col("h")))
+    return e.withColumn("slice", F.conv(F.substring("key", 1, 3), 16, 10).cast("int"))
+
+
+def _slices(e: DataFrame, plan: DataFrame) -> DataFrame:
+    """Of each leaf the slices that give tokens: those wholly ``inside`` the budget,
+    and at most one in which it ends."""
     sums = e.groupBy(*LEVELS, "epoch", "slice").agg(F.sum("tokens").alias("slice_tokens"))
     w = Window.partitionBy(*LEVELS).orderBy("epoch", "slice").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("before", F.coalesce(F.sum("slice_tokens").over(w), F.lit(0)))
-    # of each leaf: slices wholly inside the budget, and the one in which it ends
     sums = sums.join(plan.select(*LEVELS, "budget"), list(LEVELS)).where("before < budget")
     sums = sums.select(*LEVELS, "epoch", "slice", "before", "budget", (F.col("before") + F.col("slice_tokens") <= F.col("budget")).alias("inside"))
-    sums = written(sums, "mix-slices")
-    j = e.join(sums, [*LEVELS, "epoch", "slice"])
-    cols = ["doc_id", *LEVELS, "tokens", "epoch"]
-    whole = j.where("inside").select(*cols, F.col("tokens").alias("taken"))
+    return written(sums, "mix-slices")
+
+
+def _edge(j: DataFrame) -> DataFrame:
+    """Rows of the slices in which a budget ends, and what is taken of them."""
     edge = Window.partitionBy(*LEVELS, "epoch", "slice").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     part = j.where("not inside").withColumn("at", F.col("before") + F.coalesce(F.sum("tokens").over(edge), F.lit(0)))
-    part = part.withColumn("taken", F.least(F.col("tokens"), F.col("budget") - F.col("at"))).where("taken > 0").select(*cols, "taken")
-    return whole.unionByName(part)
+    return part.withColumn("taken", F.least(F.col("tokens"), F.col("budget") - F.col("at"))).where("taken > 0")
+
+
+def mix_sources(docs: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
+    """Rows ``doc_id, domain, lang, source, tokens, epoch, taken``: how many tokens of
+    which document each epoch gives; ``taken`` is at least 1."""
+    one = _narrow(docs)
+    e = _epochs(one, mix)
+    j = e.join(_slices(e, budgets(one, mix)), [*LEVELS, "epoch", "slice"])
+    cols = ["doc_id", *LEVELS, "tokens", "epoch"]
+    whole = j.where("inside").select(*cols, F.col("tokens").alias("taken"))
+    return whole.unionByName(_edge(j).select(*cols, "taken"))
+
+
+def last_taken(docs: DataFrame, mix: Mix) -> DataFrame:
+    """``lang``, ``source`` and ``last``: of each leaf that gives tokens, the place
+    (epoch, key) up to which it gives them.  One row per leaf, whatever its rows."""
+    one = _narrow(docs)
+    e = _epochs(one, mix)
+    sums = _slices(e, budgets(one, mix))
+    # "g" follows every hexadecimal digit: the end of a slice that is taken whole
+    ends = sums.where("inside").select(*LEVELS, F.struct("epoch", F.concat(F.lpad(F.lower(F.hex("slice")), 3, "0"), F.lit("g")).alias("key")).alias("last"))
+    rows = _edge(e.join(sums.where("not inside"), [*LEVELS, "epoch", "slice"])).select(*LEVELS, F.struct("epoch", "key").alias("last"))
+    # the domain is a function of the source
+    return ends.unionByName(rows).groupBy("lang", "source").agg(F.max("last").alias("last"))
 
 
 def keep_mixed(docs: DataFrame, mix: Mix) -> DataFrame:
-    """The rows, all columns, that the mixture takes tokens of, whole and once."""
-    ids = written(mix_sources(docs, mix).select(F.col("doc_id").alias("m_id")).distinct(), "mix-kept")
-    return docs.join(sendable(ids), docs["doc_id"].eqNullSafe(ids["m_id"]), "left_semi")
+    """The rows, all columns, that the mixture takes tokens of, whole and once.
+
+    The first epoch comes first, so a row is taken if its place there is not past
+    its leaf's last one.  The table of last places has a row per leaf, so it
+    does not grow with the documents and no text is shuffled; of rows repeated
+    with one id and text all stay if one does."""
+    last = written(last_taken(docs, mix).select(F.col("lang").alias("m_lang"), F.col("source").alias("m_source"), F.col("last").alias("m_last")), "mix-last")
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    place = F.struct(F.lit(0).alias("epoch"), _key(mix, F.lit(0), docs["doc_id"].cast("long"), F.md5(text)).alias("key"))
+    leaf = (_named(docs["lang"]) == last["m_lang"]) & (_named(docs["source"]) == last["m_source"])
+    return docs.join(last, leaf & text.rlike(WORD) & (place <= last["m_last"]), "left_semi")

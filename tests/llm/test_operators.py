@@ -12,9 +12,9 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ordersmith.llm import fingerprints, hmm, mixing, packing, rules, token_counts, toxicity, warc, weak_labels
+from ordersmith.llm import common, fingerprints, hmm, mixing, packing, rules, token_counts, toxicity, warc, weak_labels
 from ordersmith.llm.common import fold, table
-from tests.conftest import MEDIUM, SMALL
+from tests.conftest import MEDIUM, SMALL, physical_plan
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -172,6 +172,29 @@ def test_mixing_reaches_its_budget(llm, odd):
     assert mixing.mix_sources(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("mix", [mixing.PRODUCTION, mixing.Mix(share=0.9, epochs=1), mixing.Mix(share=0.0004), mixing.Mix(share=0.0), mixing.Mix(share=1.7, epochs=3)])
+def test_mixing_keeps_the_documents_it_takes(llm, odd, mix):
+    clash = [F.lit(1).alias(c) for c in ("m_lang", "m_last", "last", "key", "epoch", "slice", "tokens", "domain", "h")]
+    for df in (table(llm, MEDIUM, "documents").select("*", *clash), odd, odd.union(odd).select("*", *clash), odd.limit(0)):
+        want = {r["doc_id"] for r in mixing.mix_sources(df, mix).select("doc_id").distinct().collect()}
+        got = mixing.keep_mixed(df, mix)
+        assert got.columns == df.columns
+        got, rows = Counter(got.collect()), Counter(df.collect())
+        assert {r["doc_id"] for r in got} == want
+        # rows stay as they are, with all their repeats
+        assert all(rows[r] == n for r, n in got.items())
+
+
+def test_texts_are_not_sorted_beyond_the_broadcast(llm, monkeypatch):
+    monkeypatch.setattr(common, "SENT", 0)
+    d = table(llm, SMALL, "documents")
+    ids = common.written(d.select(F.col("doc_id").alias("i")).where("doc_id % 3 = 0"), "test-ids")
+    got = d.join(common.sendable(ids), d["doc_id"] == ids["i"], "left_anti")
+    plan = physical_plan(got)
+    assert "ShuffledHashJoin" in plan and "Sort" not in plan
+    assert got.count() == d.where("doc_id % 3 <> 0").count()
+
+
 def test_warc_round_trip(llm):
     big = "x" * 1500
     rows = [(1, "u", big), (2, None, big), (3, "u\r\nv", "small"), (4, "u", "small"), (5, "u", None), (None, "u", big), (6, "u", "ü" * 200_000), (6, "u", "ü" * 200_000)]
