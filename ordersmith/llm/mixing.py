@@ -28,6 +28,8 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 #: A leaf's documents are dealt out by hash to this many slices; only the slice in
 #: which the budget ends is ordered by row, so no leaf is ever sorted whole.
 SLICES = 4096
+#: Slices whose tokens are summed up together first, so that no task orders all slices of a leaf.
+RUN = 64
 
 
 @dataclass(frozen=True)
@@ -122,8 +124,14 @@ def _slices(e: DataFrame, plan: DataFrame) -> DataFrame:
     """Of each leaf the slices that give tokens: those wholly ``inside`` the budget,
     and at most one in which it ends."""
     sums = e.groupBy(*LEVELS, "epoch", "slice").agg(F.sum("tokens").alias("slice_tokens"))
-    w = Window.partitionBy(*LEVELS).orderBy("epoch", "slice").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("before", F.coalesce(F.sum("slice_tokens").over(w), F.lit(0)))
+    sums = written(sums.withColumn("run", F.floor(F.col("slice") / RUN)), "mix-sums")
+    # tokens before a slice: those before its run of slices, and those before it in the run
+    runs = sums.groupBy(*LEVELS, "epoch", "run").agg(F.sum("slice_tokens").alias("run_tokens"))
+    above = Window.partitionBy(*LEVELS).orderBy("epoch", "run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("run_before", F.coalesce(F.sum("run_tokens").over(above), F.lit(0))).drop("run_tokens")
+    within = Window.partitionBy(*LEVELS, "epoch", "run").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("in_run", F.coalesce(F.sum("slice_tokens").over(within), F.lit(0)))
+    sums = sums.join(runs, [*LEVELS, "epoch", "run"]).withColumn("before", F.col("run_before") + F.col("in_run"))
     sums = sums.join(plan.select(*LEVELS, "budget"), list(LEVELS)).where("before < budget")
     sums = sums.select(*LEVELS, "epoch", "slice", "before", "budget", (F.col("before") + F.col("slice_tokens") <= F.col("budget")).alias("inside"))
     return written(sums, "mix-slices")
