@@ -7,6 +7,7 @@ from .canonical import (
     dedupe_latest,
     dq_rollup,
     event_time,
+    null_id_report,
     standardize_geo,
     standardize_money,
     standardize_status,
@@ -32,7 +33,7 @@ __all__ = [
     "add_customer_key", "business_flags", "canonical_orders", "currency_counts",
     "customer_lifetime", "dedupe_latest", "dim_customers", "dim_customers_joined",
     "dq_rollup", "event_time", "fact_orders", "kpi_country_daily", "kpi_daily_currency",
-    "kpi_freshness_lag", "kpi_status_daily", "multi_currency", "primary_currency",
+    "kpi_freshness_lag", "kpi_status_daily", "multi_currency", "null_id_report", "primary_currency",
     "revenue_rule", "stack_orders", "stage_marketplace", "stage_storefront",
     "standardize_geo", "standardize_money", "standardize_status", "unify_marketplace",
     "unify_storefront",

@@ -69,6 +69,14 @@ def dedupe_latest(df: DataFrame, keep_null_ids: bool = False) -> DataFrame:
     return ranked if loose is None else ranked.unionByName(loose)
 
 
+def null_id_report(stacked: DataFrame) -> DataFrame:
+    """One row: rows stacked, those with a NULL ``global_order_id``, and how many
+    of them :func:`dedupe_latest` drops (by default one of them survives)."""
+    null_ids = F.count_if(F.col("global_order_id").isNull())
+    return stacked.agg(F.count("*").alias("stacked_rows"), null_ids.alias("null_id_rows"),
+                       F.greatest(null_ids - 1, F.lit(0).cast("bigint")).alias("null_id_rows_dropped"))
+
+
 def add_customer_key(df: DataFrame) -> DataFrame:
     """``global_customer_id = source_system:customer_id``; NULL without a customer."""
     gcid = F.when(F.col("customer_id").isNull(), F.lit(None).cast("string")).otherwise(

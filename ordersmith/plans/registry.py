@@ -97,6 +97,11 @@ def dedupe_latest(spark, sf_dir):
     return present(op.dedupe_latest(pipeline.stacked(m, s, AS_OF)))
 
 
+def null_id_report(spark, sf_dir):
+    m, s = feeds_from_dir(spark, sf_dir)
+    return op.null_id_report(pipeline.stacked(m, s, AS_OF))
+
+
 def canonical_status(spark, sf_dir):
     return present(_canonical(spark, sf_dir).select(
         "global_order_id", "source_system", "order_status", "financial_status", "fulfillment_status",
@@ -198,6 +203,23 @@ def sink_roundtrip(spark, sf_dir):
     return present(read_table(spark, path, fact.schema))
 
 
+def sink_overwrite(spark, sf_dir):
+    """Write the fact twice to one path, first with every day moved back 40 years,
+    in a session set to keep the days a write lacks; a refresh must leave only
+    the second write (S04)."""
+    fact = _fact(spark, sf_dir)
+    path = scratch_path(spark, "mart_fact_orders")
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode, None)
+    spark.conf.set(mode, "dynamic")
+    try:
+        write_table(fact.withColumn("order_date", F.add_months("order_date", -480)), path, LAYOUTS["mart_fact_orders"])
+        write_table(fact, path, LAYOUTS["mart_fact_orders"])
+    finally:
+        spark.conf.unset(mode) if before is None else spark.conf.set(mode, before)
+    return present(read_table(spark, path, fact.schema))
+
+
 def raw_csv_scan(spark, sf_dir):
     """Write both raw feeds as CSV snapshots (header, empty = NULL, time
     stamps with their zone), scan them back with the declared schemas (S01, S02, S07)
@@ -219,5 +241,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     kpi_daily_currency, kpi_daily_currency_exact, kpi_country_daily, kpi_status_daily,
     customer_lifetime, currency_counts, primary_currency, multi_currency,
     dim_customers, dim_customers_joined, kpi_freshness_lag,
-    sink_roundtrip, raw_csv_scan,
+    sink_roundtrip, sink_overwrite, raw_csv_scan, null_id_report,
 )}

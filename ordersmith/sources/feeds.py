@@ -47,16 +47,16 @@ def marketplace_feed(lineitem: DataFrame, orders: DataFrame, customer: DataFrame
     li = lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_shipdate")
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     c = customer.select("c_custkey", "c_nationkey")
-    j = li.join(o, li["l_orderkey"] == o["o_orderkey"]).join(c, o["o_custkey"] == c["c_custkey"])
+    j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "left").join(c, o["o_custkey"] == c["c_custkey"], "left")
 
-    key = F.col("o_orderkey")
+    key = F.col("l_orderkey")
     ingested = _shift(F.col("l_shipdate"), SHIFT_DAYS + 1)
     file_day = F.date_add(F.to_date(ingested), F.when(key % 19 == 0, 1).otherwise(0))
     flag = F.col("l_returnflag")
     nation = F.col("c_nationkey")
     price = F.col("l_extendedprice")
     out = j.select(
-        ingested.alias("ingested_at"),
+        F.when(key % 43 == 7, F.lit(None).cast("timestamp")).otherwise(ingested).alias("ingested_at"),
         F.when(key % 29 == 0, F.lit("reports/undated.tsv"))
          .when(key % 23 == 0, F.lit(""))
          .otherwise(F.concat(F.lit("reports/"), file_day.cast("string"), F.lit(".tsv")))
@@ -64,19 +64,29 @@ def marketplace_feed(lineitem: DataFrame, orders: DataFrame, customer: DataFrame
         F.to_date(_shift(F.col("l_shipdate"))).alias("report_date"),
         F.when(key % 101 == 0, F.lit("")).otherwise(F.concat(F.lit(" A-"), key.cast("string")))
          .alias("amazon_order_id"),
-        _shift(F.col("o_orderdate")).alias("purchase_date"),
+        F.when(key % 47 == 5, F.lit(None).cast("timestamp")).otherwise(_shift(F.col("o_orderdate")))
+         .alias("purchase_date"),
         F.when(key % 7 == 0, F.lit(None).cast("timestamp")).otherwise(_shift(F.col("l_shipdate")))
          .alias("last_updated_date"),
-        F.when(flag == "R", F.lit("Returned"))
+        F.when(key % 41 == 2, F.lit(None).cast("string"))
+         .when(key % 41 == 3, F.lit("\t"))
+         .when(key % 41 == 4, F.lit("Mystery"))
+         .when(key % 41 == 5, F.lit("\tComplete"))
+         .when(key % 41 == 6, F.lit("unShipped\u00a0"))
+         .when(key % 41 == 7, F.lit("\u3000REFUNDED"))
+         .when(flag == "R", F.lit("Returned"))
          .when(flag == "A", F.lit(" canceled"))
          .when(flag.isin("N", "O"), F.lit("Shipped "))
          .otherwise(F.lit("pending")).alias("order_status"),
-        F.when(F.col("l_linenumber") % 3 == 0, F.lit("afn"))
+        F.when(key % 31 == 2, F.lit(None).cast("string"))
+         .when(key % 31 == 3, F.lit("\t "))
+         .when(F.col("l_linenumber") % 3 == 0, F.lit("afn"))
          .when(F.col("l_linenumber") % 3 == 1, F.lit("MFN"))
          .otherwise(F.lit("fbx")).alias("fulfillment_channel"),
         F.when(key % 59 == 0, F.lit(None).cast("double"))
          .when(key % 53 == 0, -price).otherwise(price).alias("order_total"),
-        F.when(nation % 4 == 0, F.lit("EUR")).when(nation % 4 == 1, F.lit(" usd "))
+        F.when(key % 37 == 3, F.lit(None).cast("string")).when(key % 37 == 4, F.lit("  "))
+         .when(nation % 4 == 0, F.lit("EUR")).when(nation % 4 == 1, F.lit(" usd "))
          .when(nation % 4 == 2, F.lit("CHF")).otherwise(F.lit("EU1")).alias("currency"),
         _ship_country(nation).alias("ship_country"),
         F.when(key % 31 == 0, F.lit(None).cast("string"))
@@ -93,7 +103,7 @@ def storefront_feed(orders: DataFrame, customer: DataFrame) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = customer.select("c_custkey", "c_nationkey")
     key = F.col("o_orderkey")
-    j = (o.join(c, o["o_custkey"] == c["c_custkey"])
+    j = (o.join(c, o["o_custkey"] == c["c_custkey"], "left")
           .withColumn("version", F.explode(
               F.when(key % 11 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))))
 
@@ -108,7 +118,7 @@ def storefront_feed(orders: DataFrame, customer: DataFrame) -> DataFrame:
     out = j.select(
         F.when(key % 103 == 1, F.lit("")).otherwise(F.concat(F.lit("S-"), key.cast("string"), F.lit(" ")))
          .alias("id"),
-        created.alias("created_at"),
+        F.when(key % 43 == 2, F.lit(None).cast("timestamp")).otherwise(created).alias("created_at"),
         F.when(v2, created + F.expr("INTERVAL 3 DAYS"))
          .when(status == "P", F.lit(None).cast("timestamp"))
          .otherwise(created + F.expr("INTERVAL 2 HOURS")).alias("processed_at"),
@@ -116,7 +126,9 @@ def storefront_feed(orders: DataFrame, customer: DataFrame) -> DataFrame:
          .when(status == "O", F.lit(" Pending")).otherwise(F.lit("refunded")).alias("financial_status"),
         F.when(prio == "5-LOW", F.lit(None).cast("string")).when(prio == "1-URGENT", F.lit("cancelled"))
          .otherwise(F.lit("fulfilled ")).alias("fulfillment_status"),
-        F.when(key % 3 == 0, F.lit("eur")).when(key % 3 == 1, F.lit("USD"))
+        F.when(key % 29 == 3, F.lit(None).cast("string")).when(key % 29 == 4, F.lit("\t"))
+         .when(key % 29 == 5, F.lit("E1R")).when(key % 29 == 6, F.lit("\tusd\u00a0"))
+         .when(key % 3 == 0, F.lit("eur")).when(key % 3 == 1, F.lit("USD"))
          .otherwise(F.lit("CHF ")).alias("currency"),
         total.alias("total_price"),
         (total * 0.8).alias("subtotal_price"),

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from conftest import SMALL, physical_plan
 from ordersmith import operators as op
 from ordersmith.plans import pipeline
-from ordersmith.sources.feeds import AS_OF, feeds_from_dir
+from ordersmith.functions import ALLOWED_STATUSES
+from ordersmith.sources.feeds import AS_OF, feeds_from_dir, load_tables, marketplace_feed, storefront_feed
 
 
 @pytest.fixture(scope="module")
@@ -83,3 +84,36 @@ def test_one_pass_dimension_matches_joins(fact):
 def test_top1_plan_limits_before_shuffle(feeds):
     plan = physical_plan(pipeline.canonical(*feeds, as_of=AS_OF))
     assert "WindowGroupLimit" in plan
+
+
+def test_every_flag_is_raised_and_not_raised(feeds, canon):
+    m, s = feeds
+    frames = {"marketplace": op.stage_marketplace(m, AS_OF), "storefront": op.stage_storefront(s, AS_OF), "canonical": canon}
+    for name, df in frames.items():
+        flags = [c for c in df.columns if c.startswith("dq_")]
+        seen = df.agg(*[F.struct(F.max(c).alias("hi"), F.min(c).alias("lo")).alias(c) for c in flags]).first()
+        for c in flags:
+            assert seen[c]["hi"] is True and seen[c]["lo"] is False, (name, c)
+        assert len(flags) == {"marketplace": 20, "storefront": 11, "canonical": 8}[name]
+
+
+def test_every_status_word_occurs(canon):
+    words = {r[0] for r in canon.select("order_status_canon").distinct().collect()}
+    assert set(ALLOWED_STATUSES) <= words and {None, "MYSTERY"} <= words
+
+
+def test_lines_without_a_parent_stay(spark):
+    t = load_tables(spark, SMALL)
+    none = t["orders"].limit(0), t["customer"].limit(0)
+    assert marketplace_feed(t["lineitem"], *none).count() == t["lineitem"].count()
+    assert storefront_feed(t["orders"], none[1]).select("id").distinct().count() == \
+        storefront_feed(t["orders"], t["customer"]).select("id").distinct().count()
+
+
+def test_null_id_report(feeds):
+    rows = pipeline.stacked(*feeds, as_of=AS_OF)
+    got = op.null_id_report(rows).first()
+    kept = op.dedupe_latest(rows).where("global_order_id IS NULL").count()
+    assert kept == 1 and got["null_id_rows"] > 1
+    assert got["null_id_rows_dropped"] == got["null_id_rows"] - kept
+    assert op.null_id_report(rows.limit(0)).first().asDict() == {"stacked_rows": 0, "null_id_rows": 0, "null_id_rows_dropped": 0}
