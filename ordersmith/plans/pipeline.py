@@ -70,7 +70,8 @@ def full_refresh(spark: SparkSession, raw_marketplace: DataFrame, raw_storefront
     feed is scanned once and a lost executor costs a file read.  The fact is
     always written; staging, the stacked table and the canonical table are
     narrow steps before it and written only when asked, since at scale each is
-    another full copy of the order data.  Refuses a session that is not set to
+    another full copy of the order data (``keep_null_ids`` writes the stacked
+    table too, since it reads it twice).  Refuses a session that is not set to
     UTC and ANSI; a missing ``as_of`` is today, resolved once for all tables.
     """
     require(spark)
@@ -86,7 +87,7 @@ def full_refresh(spark: SparkSession, raw_marketplace: DataFrame, raw_storefront
     if write_staging:
         m, s = landed(m, "stg_amazon_orders"), landed(s, "stg_shopify_orders")
     stack = stack_orders(unify_marketplace(m), unify_storefront(s))
-    if write_staging:
+    if write_staging or keep_null_ids:  # rows with and without an id are two branches over the stacked rows
         stack = landed(stack, "int_amazon_shopify_orders")
     canon = canonical_orders(stack, keep_null_ids=keep_null_ids)
     if write_canonical:

@@ -9,7 +9,7 @@ from fixtures import AS_OF, MARKETPLACE, STOREFRONT
 from ordersmith.plans import pipeline
 from ordersmith.plans.sinks import LAYOUTS, read_table, write_table
 from ordersmith.session import scratch_path
-from ordersmith.sources.files import read_feed_csv, write_feed_csv
+from ordersmith.sources.files import read_feed_csv, read_feed_parquet, write_feed_csv
 from ordersmith.sources.schema import MARKETPLACE_RAW, STOREFRONT_RAW
 
 
@@ -81,3 +81,24 @@ def test_csv_snapshot_roundtrip(spark):
         write_feed_csv(df, path)
         back = read_feed_csv(spark, path, schema, multi_line=True)  # a fixture value holds a line break
         assert same_rows(df, back)  # blanks stay blank, NULLs stay NULL, padding kept
+
+
+def test_refresh_that_keeps_null_ids_reads_the_written_stack(spark):
+    m = spark.createDataFrame(MARKETPLACE, MARKETPLACE_RAW)
+    s = spark.createDataFrame(STOREFRONT, STOREFRONT_RAW)
+    paths = pipeline.full_refresh(spark, m, s, scratch_path(spark, "refresh"), AS_OF, keep_null_ids=True)
+    stack, fact = (spark.read.parquet(paths[t]) for t in ("int_amazon_shopify_orders", "mart_fact_orders"))
+    assert same_rows(stack.select(*pipeline.stacked(m, s, AS_OF).columns), pipeline.stacked(m, s, AS_OF))
+    expected = pipeline.fact(m, s, AS_OF, keep_null_ids=True)
+    assert same_rows(fact.select(*expected.columns), expected)
+    assert fact.where("global_order_id IS NULL").count() == stack.where("global_order_id IS NULL").count() > 1
+
+
+def test_parquet_feed_in_any_column_order(spark):
+    for rows, schema in ((MARKETPLACE, MARKETPLACE_RAW), (STOREFRONT, STOREFRONT_RAW)):
+        df = spark.createDataFrame(rows, schema)
+        path = scratch_path(spark, "parquet")
+        df.select(*reversed(df.columns), F.lit(1).alias("extra")).write.parquet(path)
+        back = read_feed_parquet(spark, path, schema)
+        assert back.schema == schema and same_rows(df, back)
+        assert read_feed_parquet(spark, path, schema).limit(0).count() == 0
