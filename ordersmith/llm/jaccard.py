@@ -5,8 +5,8 @@ other documents whose set of five-word shingles has a Jaccard similarity of at
 least ``threshold`` with its own.  Documents with equal sets are one class and
 are compared once.  Texts of fewer than five words have one shingle of all
 their words; texts without a word (null: empty) form one class of their own.
-Repeated rows count one by one; null ids are left as they are (the class of a
-null id alone has a null representative and takes no part in links).
+Classes are told apart by their shingle sets and numbered, never by an id, so
+ids may be null or stand on several texts.  Repeated rows count one by one.
 
 Candidates come from bands of the signature, with rows and bands chosen for
 the target recall.  Small buckets give their pairs.  Buckets of more than
@@ -22,6 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from . import textops as T
 from .common import sendable, texts, written
@@ -47,37 +48,65 @@ def bands_for(threshold: float, recall: float, most: int = 128) -> tuple[int, in
     return most, 1
 
 
-def _sketch(docs: DataFrame, bands: int, rows: int, seed: int) -> DataFrame:
+KEY = ["k1", "k2", "n_shingles"]
+KEY_TYPE = StructType([StructField(k, LongType()) for k in KEY])
+
+
+def set_keys(sh: np.ndarray, sd: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits (two rows) and the number of distinct shingles of each document's set; equal sets have equal keys."""
+    order = np.lexsort((sh, sd))
+    s, d = sh[order], sd[order]
+    new = np.ones(len(s), bool)
+    new[1:] = (s[1:] != s[:-1]) | (d[1:] != d[:-1])
+    s, d = s[new], d[new]
+    at = np.searchsorted(d, np.arange(n + 1))
+    key = np.zeros((2, n), np.uint64)
+    full = np.flatnonzero(at[1:] > at[:-1])
+    if len(full):
+        # two sums over the distinct shingles
+        for i, v in enumerate((T.mix(s), T.mix(s ^ np.uint64(0x5851F42D4C957F2D)))):
+            key[i][full] = np.add.reduceat(v, at[:-1][full])
+    return key, np.diff(at)
+
+
+def band_hashes(sig: np.ndarray, size: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """A hash of each band of ``rows`` minima; 0 for documents without a shingle."""
+    hashes = np.zeros((len(sig), bands), np.uint64)
+    for i in range(bands):
+        x = np.full(len(sig), i, np.uint64)
+        for r in range(rows):
+            x = T.mix(x + sig[:, i * rows + r].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        hashes[:, i] = x
+    hashes[size == 0] = 0
+    return hashes
+
+
+@F.pandas_udf(KEY_TYPE)
+def set_key(text: pd.Series) -> pd.DataFrame:
+    """The class key of each text."""
+    keys, sizes = [np.zeros((2, 0), np.uint64)], [np.zeros(0, np.int64)]
+    for b in T.blocks([pa.RecordBatch.from_arrays([pa.array(text, pa.string())], names=["text"])]):
+        h, doc, _, _ = T.words(*T.utf8(T.column(b, "text")))
+        key, size = set_keys(*T.shingles(h, doc, SHINGLE, b.num_rows), b.num_rows)
+        keys.append(key)
+        sizes.append(size)
+    k = np.concatenate(keys, axis=1).view(np.int64)
+    return pd.DataFrame({"k1": k[0], "k2": k[1], "n_shingles": np.concatenate(sizes)})
+
+
+def _sketch(docs: DataFrame, bands: int, rows: int, seed: int, permutations: int) -> DataFrame:
     """``doc_id``, the class key (128 bits of the shingle set) and the band hashes."""
 
     def run(batches):
-        mh = T.MinHash(bands * rows, seed)
+        mh = T.MinHash(permutations, seed)
         for b in T.blocks(batches):
             data, off = T.utf8(T.column(b, "text"))
             h, doc, _, _ = T.words(data, off)
             sh, sd = T.shingles(h, doc, SHINGLE, b.num_rows)
-            sig = mh.signatures(sh, sd, b.num_rows)
-            # equal sets have equal keys: two sums over the distinct shingles
-            order = np.lexsort((sh, sd))
-            s, d = sh[order], sd[order]
-            new = np.ones(len(s), bool)
-            new[1:] = (s[1:] != s[:-1]) | (d[1:] != d[:-1])
-            s, d = s[new], d[new]
-            at = np.searchsorted(d, np.arange(b.num_rows + 1))
-            key = np.zeros((2, b.num_rows), np.uint64)
-            full = np.flatnonzero(at[1:] > at[:-1])
-            if len(full):
-                for i, v in enumerate((T.mix(s), T.mix(s ^ np.uint64(0x5851F42D4C957F2D)))):
-                    key[i][full] = np.add.reduceat(v, at[:-1][full])
-            hashes = np.zeros((b.num_rows, bands), np.uint64)
-            for i in range(bands):
-                x = np.full(b.num_rows, i, np.uint64)
-                for r in range(rows):
-                    x = T.mix(x + sig[:, i * rows + r].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-                hashes[:, i] = x
-            hashes[at[1:] == at[:-1]] = 0
+            key, size = set_keys(sh, sd, b.num_rows)
+            hashes = band_hashes(mh.signatures(sh, sd, b.num_rows), size, bands, rows)
             yield pa.RecordBatch.from_arrays(
-                [T.column(b, "doc_id"), pa.array(key[0].view(np.int64)), pa.array(key[1].view(np.int64)), pa.array(np.diff(at)),
+                [T.column(b, "doc_id"), pa.array(key[0].view(np.int64)), pa.array(key[1].view(np.int64)), pa.array(size),
                  pa.FixedSizeListArray.from_arrays(pa.array(hashes.view(np.int64).ravel()), bands).cast(pa.list_(pa.int64()))],
                 names=["doc_id", "k1", "k2", "n_shingles", "bands"])
 
@@ -85,15 +114,16 @@ def _sketch(docs: DataFrame, bands: int, rows: int, seed: int) -> DataFrame:
 
 
 def _shingle_sets(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and its sorted distinct shingles as bytes."""
+    """The class key of each document and its sorted distinct shingles as bytes."""
 
     def run(batches):
         for b in T.blocks(batches):
             h, doc, _, _ = T.words(*T.utf8(T.column(b, "text")))
             sh, sd = T.shingles(h, doc, SHINGLE, b.num_rows)
-            yield pa.RecordBatch.from_arrays([T.column(b, "doc_id"), pa.array([s.tobytes() for s in T.sets(sh, sd, b.num_rows)], pa.binary())], names=["rep", "shingles"])
+            key, size = set_keys(sh, sd, b.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(key[0].view(np.int64)), pa.array(key[1].view(np.int64)), pa.array(size), pa.array([s.tobytes() for s in T.sets(sh, sd, b.num_rows)], pa.binary())], names=[*KEY, "shingles"])
 
-    return docs.mapInArrow(run, "rep long, shingles binary")
+    return docs.mapInArrow(run, "k1 long, k2 long, n_shingles long, shingles binary")
 
 
 def _verify_pairs(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -184,15 +214,18 @@ def _compare_blocks(members: DataFrame, threshold: float) -> DataFrame:
     return members.groupBy("cluster", "left", "right").applyInPandas(run, "rep long, links long, root long")
 
 
-def link_documents(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, seed: int = 3) -> DataFrame:
-    """One row per document: ``doc_id``, ``class_id`` (the smallest id of the group
-    that links connect), ``n_links`` (documents linked to it, copies included),
-    ``copy_of`` (the smallest id with the same shingle set) and ``n_copies`` (documents of that set)."""
-    bands, rows = bands_for(threshold, recall)
-    member = written(_sketch(docs, bands, rows, seed), "jaccard-sketch")
-    # the smallest id of each class; equal sets have equal bands, so any row's will do
-    classes = written(member.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("size"), F.first("bands").alias("bands")), "jaccard-classes")
-    alive = classes.where("n_shingles > 0 and rep is not null")
+def groups(docs: DataFrame, bands: int, rows: int, seed: int, permutations: int, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """Two written tables: the documents (``doc_id`` and class key), and one row per
+    class with its key, ``root`` (a number of the group that links connect),
+    ``class_id`` (the group's smallest id), ``n_links``, ``copy_of`` and ``n_copies``.
+
+    Bands of ``rows`` minima are taken from a signature of ``permutations`` minima.
+    """
+    member = written(_sketch(docs, bands, rows, seed, permutations), "jaccard-sketch")
+    # a number (rep) for each class; equal sets have equal bands, so any row's will do
+    classes = member.groupBy(*KEY).agg(F.min("doc_id").alias("low_id"), F.count("*").alias("size"), F.first("bands").alias("bands"))
+    classes = written(classes.withColumn("rep", F.monotonically_increasing_id()), "jaccard-classes")
+    alive = classes.where("n_shingles > 0")
 
     band = alive.select("rep", F.posexplode("bands").alias("band", "h"))
     full = band.groupBy("band", "h").agg(F.count("*").alias("m"), F.min("rep").alias("low")).where("m > 1")
@@ -212,15 +245,19 @@ def link_documents(docs: DataFrame, threshold: float = THRESHOLD, recall: float
 
     # the sets of those documents alone
     wanted = written(pair.select(F.col("a").alias("w")).union(pair.select("b")).union(hot.select("c_rep")).distinct(), "jaccard-wanted")
+    low = F.coalesce("low_id", F.lit(-(1 << 63)))  # for null; what it picks in excess has another key
+    wanted = written(classes.join(wanted, F.col("rep") == F.col("w")).select(*KEY, "rep", low.alias("w_id")), "jaccard-wanted-keys")
     # few enough ids go to every task, and the texts stay where they are; else the texts are dealt out by id
-    picked = texts(docs).join(sendable(wanted), F.col("doc_id") == F.col("w"), "left_semi")
-    sets = written(_shingle_sets(picked).dropDuplicates(["rep"]), "jaccard-sets")
+    ids = written(wanted.select("w_id").distinct(), "jaccard-wanted-ids")
+    picked = texts(docs).join(sendable(ids), F.coalesce("doc_id", F.lit(-(1 << 63))) == F.col("w_id"), "left_semi")
+    # an id may stand on other texts too: the key tells them apart
+    sets = written(_shingle_sets(picked).dropDuplicates(KEY).join(wanted, KEY).select("rep", "shingles"), "jaccard-sets")
 
     with_a = pair.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
     with_b = with_a.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
     linked = written(_verify_pairs(with_b, threshold), "jaccard-linked")
 
-    size = classes.select(F.col("rep").alias("s_rep"), "size").where("s_rep is not null")
+    size = classes.select(F.col("rep").alias("s_rep"), "size")
     held = sets.join(hot, F.col("rep") == F.col("c_rep")).join(size, F.col("rep") == F.col("s_rep")).select("cluster", "rep", "size", "shingles")
     count = hot.groupBy("cluster").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
     held = held.join(count, "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
@@ -233,23 +270,44 @@ def link_documents(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     links = by_pair.unionByName(compared.select("rep", "links")).groupBy("rep").agg(F.sum("links").alias("links"))
 
     group = components(linked.select("a", "b").unionByName(compared.where("root <> rep").select(F.col("rep").alias("a"), F.col("root").alias("b"))), "jaccard-groups")
-    c = classes.select("k1", "k2", "n_shingles", "rep", "size").join(links.withColumnRenamed("rep", "l_rep"), F.col("rep") == F.col("l_rep"), "left")
+    lows = group.join(classes.select(F.col("rep").alias("node"), "low_id"), "node").groupBy("root").agg(F.min("low_id").alias("group_id"))
+    group = group.join(written(lows, "jaccard-lows"), "root")
+    c = classes.select(*KEY, "rep", "low_id", "size").join(links.withColumnRenamed("rep", "l_rep"), F.col("rep") == F.col("l_rep"), "left")
     c = c.join(group, F.col("rep") == F.col("node"), "left")
     # a table again, so that a class of very many copies can be split in the join
-    c = written(c.select("k1", "k2", "n_shingles", F.col("rep").alias("copy_of"), F.col("size").alias("n_copies"), F.coalesce("root", "rep").alias("class_id"),
+    c = written(c.select(*KEY, F.coalesce("root", "rep").alias("root"), F.col("low_id").alias("copy_of"), F.col("size").alias("n_copies"), F.coalesce("group_id", "low_id").alias("class_id"),
                          (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links")), "jaccard-results")
-    return member.select("doc_id", "k1", "k2", "n_shingles").join(c, ["k1", "k2", "n_shingles"]).select("doc_id", "class_id", "n_links", "copy_of", "n_copies")
+    return member.select("doc_id", *KEY), c
+
+
+def link_documents(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, seed: int = 3) -> DataFrame:
+    """One row per document: ``doc_id``, ``class_id`` (the smallest id of the group
+    that links connect), ``n_links`` (documents linked to it, copies included),
+    ``copy_of`` (the smallest id with the same shingle set) and ``n_copies`` (documents of that set)."""
+    bands, rows = bands_for(threshold, recall)
+    member, c = groups(docs, bands, rows, seed, bands * rows, threshold)
+    return member.join(c, KEY).select("doc_id", "class_id", "n_links", "copy_of", "n_copies")
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """The rows, all columns, without those that a link or an equal shingle set joins to
-    a smaller id.  Of rows repeated with one id and text one stays; rows with a null id stay."""
-    linked = written(link_documents(docs, threshold, recall).select(F.col("doc_id").alias("j_id"), "class_id"), "jaccard-kept")
-    gone = written(linked.where("j_id <> class_id").select("j_id").distinct(), "jaccard-gone")
+    a smaller id.  Of a group's rows with one repeated id the one of smallest text stays;
+    an id's rows in other groups are decided there.  Rows with a null id stay."""
+    bands, rows = bands_for(threshold, recall)
+    member, c = groups(docs, bands, rows, 3, bands * rows, threshold)
+    linked = written(member.where("doc_id is not null").join(c, KEY).select(F.col("doc_id").alias("j_id"), "class_id", "root", *KEY), "jaccard-kept")
+    by_id = written(linked.groupBy("j_id").agg(F.count("*").alias("n"), F.max(F.col("j_id") != F.col("class_id")).alias("out")).where("n > 1 or out"), "jaccard-ids")
+    gone = by_id.where("n = 1").select("j_id")
     left = docs.join(sendable(gone), docs["doc_id"] == gone["j_id"], "left_anti")
-    # repeated ids are few: only their rows are compared by text
-    again = written(linked.where("j_id is not null").groupBy("j_id").agg(F.count("*").alias("n")).where("n > 1").select("j_id"), "jaccard-again")
+    # repeated ids are few: only their rows are compared by key and text
+    again = by_id.where("n > 1").select("j_id")
     if again.isEmpty():
         return left
-    once = left.join(again, left["doc_id"] == again["j_id"], "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(again, left["doc_id"] == again["j_id"], "left_anti").unionByName(once)
+    some = left.join(again, left["doc_id"] == again["j_id"], "left_semi")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    one = F.min_by(F.struct(*docs.columns), text)
+    some = some.groupBy(F.col("doc_id").cast("long").alias("j_id"), set_key(text).alias("key")).agg(one.alias("row"))
+    some = some.select("j_id", "key.*", "row")
+    first = linked.where("j_id = class_id").join(again, "j_id", "left_semi").select("j_id", "root", *KEY).distinct()
+    some = some.join(first, ["j_id", *KEY]).groupBy("root").agg(F.min_by("row", F.coalesce(F.col("row.text").cast("string"), F.lit(""))).alias("row"))
+    return left.join(again, left["doc_id"] == again["j_id"], "left_anti").unionByName(some.select("row.*"))

@@ -91,6 +91,25 @@ def test_odd_rows(llm, docs_of):
     assert sorted((r["doc_id"] for r in jaccard.one_of_each(twice).collect()), key=lambda x: (x is None, x)) == [0, 3, 5, 6, 7, 8, None, None]
 
 
+def test_ids_that_stand_on_several_texts(docs_of):
+    """Against brute force over row numbers: classes, links and survivors do not depend on ids being unique."""
+    near = lambda base, k: " ".join([*[f"{base}{i}" for i in range(60)], f"end{k}"])
+    rows = [(7, near("a", 0)), (3, near("a", 1)), (7, "a clean text that stands alone here"), (9, near("b", 0)), (9, near("c", 0)), (11, near("b", 1)), (12, near("c", 1)),
+            (20, near("d", 1)), (20, near("d", 0)), (None, near("e", 0)), (None, near("e", 1)), (30, near("e", 2))]
+    want = brute(list(enumerate((t for _, t in rows))))
+    low = {}
+    for n, (i, _) in enumerate(rows):
+        if i is not None:
+            low[want[n][0]] = min(i, low.get(want[n][0], i))
+    df = docs_of(rows, extra=True)
+    got = sorted(((r["doc_id"], r["class_id"], r["n_links"]) for r in jaccard.link_documents(df).collect()), key=str)
+    assert got == sorted(((i, low[want[n][0]], want[n][1]) for n, (i, _) in enumerate(rows)), key=str)
+    kept = jaccard.one_of_each(df)
+    assert kept.columns == df.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
+        [(3, near("a", 1)), (7, rows[2][1]), (9, near("b", 0)), (9, near("c", 0)), (20, near("d", 0)), (None, near("e", 0)), (None, near("e", 1)), (30, near("e", 2))], key=str)
+
+
 def test_bands_reach_the_recall():
     bands, rows = jaccard.bands_for(0.8, 0.9999)
     assert bands * rows <= 128 and 1 - (1 - 0.8 ** rows) ** bands >= 0.9999
