@@ -5,6 +5,10 @@ the five-word shingles of a whole text, as hexadecimal text; equal texts have
 equal fingerprints.  Texts of fewer than five words have one shingle of all
 their words.  Texts without a word (null: empty) have the empty fingerprint's
 fixed value; their likeness is 1 to each other and 0 to all else.
+
+Near duplicates are found from bands of the same minima: documents of one
+shingle set (so of one fingerprint) are collapsed first, equal bands are joined
+with hot buckets split into blocks, and Jaccard is verified on full sets.
 """
 
 from __future__ import annotations
@@ -16,44 +20,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from . import jaccard
 from . import textops as T
-from .common import texts
+from .common import sendable, texts, written
 
 PERMUTATIONS = 128
 SHINGLE = 5
 
 
-def _signatures(col: pa.Array, mh: T.MinHash) -> np.ndarray:
+def _signatures(col: pa.Array, mh: T.MinHash) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The minima of each text, and the key and size of its shingle set."""
     data, off = T.utf8(col)
     h, doc, _, _ = T.words(data, off)
     sh, sd = T.shingles(h, doc, SHINGLE, len(col))
-    return mh.signatures(sh, sd, len(col))
+    return mh.signatures(sh, sd, len(col)), *jaccard.set_keys(sh, sd, len(col))
 
 
 def _bytes(sig: np.ndarray) -> pa.Array:
     return pa.array([r.tobytes() for r in sig.astype(">u4")], pa.binary())
 
 
-def _minima(col: pa.Array, n: int) -> np.ndarray:
-    return np.frombuffer(b"".join(col.to_pylist()), ">u4").reshape(-1, n)
-
-
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Share of equal minima; a text without words is unlike any with words."""
     void_a, void_b = (a == 0xFFFFFFFF).all(axis=1), (b == 0xFFFFFFFF).all(axis=1)
     return np.where(void_a | void_b, (void_a & void_b).astype(float), (a == b).mean(axis=1))
 
 
-def fingerprint(docs: DataFrame, permutations: int = PERMUTATIONS, seed: int = 7) -> DataFrame:
-    """``doc_id``, ``text`` and ``fingerprint`` (its bytes, half as long as the text form)."""
-
-    def run(batches):
-        mh = T.MinHash(permutations, seed)
-        for b in T.blocks(batches):
-            text = T.column(b, "text")
-            yield pa.RecordBatch.from_arrays([T.column(b, "doc_id"), text, _bytes(_signatures(text, mh))], names=["doc_id", "text", "fingerprint"])
-
-    return texts(docs).mapInArrow(run, "doc_id long, text string, fingerprint binary")
+def near_duplicates(docs: DataFrame, threshold: float = jaccard.THRESHOLD, recall: float = jaccard.RECALL, permutations: int = PERMUTATIONS, seed: int = 7) -> tuple[DataFrame, DataFrame]:
+    """The documents with their class key, and the classes of documents that links
+    connect (Jaccard of the five-word sets at least ``threshold``), see ``jaccard.groups``.
+    As many bands as the fingerprint's minima allow, of as many rows as ``recall`` allows."""
+    _, rows = jaccard.bands_for(threshold, recall, permutations)
+    return jaccard.groups(docs, permutations // rows, rows, seed, permutations, threshold)
 
 
 def with_next(df: DataFrame, ids: DataFrame, order: str, columns: list[str], parts: int | None = None) -> DataFrame:
@@ -103,19 +101,26 @@ def edited_text(text: Column, following: Column) -> Column:
 
 
 def fingerprint_edits(docs: DataFrame, permutations: int = PERMUTATIONS, seed: int = 7) -> DataFrame:
-    """Fingerprints of each text, of its edited text, and their likeness."""
-    f = with_next(fingerprint(docs, permutations, seed), texts(docs).select("doc_id"), "doc_id", ["text", "fingerprint"])
-    f = f.select("doc_id", F.length("text").cast("long").alias("n_chars"), "fingerprint", "next_fingerprint", edited_text(F.col("text"), F.col("next_text")).alias("edited"))
+    """Fingerprints of each text, of its edited text, their likeness, and ``class_id``:
+    the smallest id of the near-duplicate group (of a group without ids: null)."""
+    _, classes = near_duplicates(docs, permutations=permutations, seed=seed)
+    # a document without copies or links is its own class
+    grouped = written(classes.where("n_copies > 1 or not class_id <=> copy_of").select(*jaccard.KEY, "class_id", F.lit(True).alias("grouped")), "fingerprints-classes")
+    # a fingerprint is as costly to send as to make again, so texts alone are dealt out
+    f = with_next(texts(docs), texts(docs).select("doc_id"), "doc_id", ["text"])
+    f = f.select("doc_id", F.length("text").cast("long").alias("n_chars"), "text", "next_text", edited_text(F.col("text"), F.col("next_text")).alias("edited"))
     f = f.withColumn("edited_sha256", F.sha2(F.encode("edited", "UTF-8"), 256))
 
     def run(batches):
         mh = T.MinHash(permutations, seed)
-        for b in T.blocks(batches, "edited"):
-            own, nxt = (_minima(T.column(b, c), permutations) for c in ("fingerprint", "next_fingerprint"))
-            ed = _signatures(T.column(b, "edited"), mh)
+        for b in T.blocks(batches, "text"):
+            own, key, size = _signatures(T.column(b, "text"), mh)
+            nxt, ed = (_signatures(T.column(b, c), mh)[0] for c in ("next_text", "edited"))
             yield pa.RecordBatch.from_arrays(
-                [T.column(b, "doc_id"), T.column(b, "n_chars"), T.column(b, "edited_sha256"), _bytes(own), _bytes(ed), pa.array(likeness(own, ed)), pa.array(likeness(own, nxt))],
-                names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+                [T.column(b, "doc_id"), T.column(b, "n_chars"), T.column(b, "edited_sha256"), _bytes(own), _bytes(ed), pa.array(likeness(own, ed)), pa.array(likeness(own, nxt)),
+                 pa.array(key[0].view(np.int64)), pa.array(key[1].view(np.int64)), pa.array(size)],
+                names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", *jaccard.KEY])
 
-    out = f.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double")
-    return out.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
+    out = f.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double, k1 long, k2 long, n_shingles long")
+    out = out.join(sendable(grouped), jaccard.KEY, "left").withColumn("class_id", F.when(F.col("grouped"), F.col("class_id")).otherwise(F.col("doc_id")))
+    return out.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}).drop(*jaccard.KEY, "grouped")

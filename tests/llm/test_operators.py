@@ -12,9 +12,10 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ordersmith.llm import common, fingerprints, hmm, mixing, packing, rules, token_counts, toxicity, warc, weak_labels
+from ordersmith.llm import common, fingerprints, hmm, jaccard, mixing, packing, rules, token_counts, toxicity, warc, weak_labels
 from ordersmith.llm.common import fold, table
 from tests.conftest import MEDIUM, SMALL, physical_plan
+from tests.llm.test_jaccard import brute, near_groups
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -80,6 +81,19 @@ def test_fingerprints(llm, odd):
     assert fingerprints.fingerprint_edits(odd.limit(0)).count() == 0
 
 
+def test_fingerprints_find_near_duplicates(docs_of, monkeypatch):
+    """Groups whose ids are not neighbours, against brute force on full sets; small and hot buckets, odd rows."""
+    monkeypatch.setattr(jaccard, "SMALL", 4)
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    rows = near_groups(5, 8, 24)
+    step = 37 if len(rows) % 37 else 41  # spreads each group over the ids
+    rows = [(k * step % len(rows), t) for k, (_, t) in enumerate(rows)] + [(10_000, None), (10_001, " "), (10_002, "one two"), (10_003, "one  two"), (10_004, "alone")]
+    want = brute(rows)
+    assert len({c for c, _ in want.values()}) < len(rows) / 2
+    got = {r["doc_id"]: r["class_id"] for r in fingerprints.fingerprint_edits(docs_of(rows, extra=True)).collect()}
+    assert got == {i: c for i, (c, _) in want.items()}
+
+
 def plain_stats(t):
     w = WORD.findall(t or "")
     lines = [x for x in (t or "").split("\n") if WORD.search(x)]
