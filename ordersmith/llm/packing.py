@@ -14,6 +14,8 @@ one by one; an empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, bisect_right, insort
+from itertools import combinations, count, product
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +29,13 @@ from .common import texts, written
 
 CAPACITY = 4096
 END_ID = 1
-#: Fillings looked at for one largest document, at most.  The best of them is
-#: kept, so every piece is packed whatever the bound.
+#: Nodes of the search for one largest document's fillings, at most.  The best
+#: filling found is kept, so every piece is packed whatever the bound.
 FILLINGS = 2_000
+#: Undominated fillings of one largest document that are branched over.
+WIDTH = 4
+#: Nodes of all such searches together; then the best packing so far stands.
+WORK = 1_000_000
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -65,67 +71,159 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     return written(out, "pieces")
 
 
-def best_filling(room: int, lengths: np.ndarray, counts: np.ndarray, nodes: int = FILLINGS) -> list[int]:
-    """The lengths (descending, each at most ``counts`` times) that fill ``room`` best.
+def dominates(a: tuple[int, ...], b: tuple[int, ...]) -> bool:
+    """Whether first fit puts the lengths of ``b`` into spaces of the lengths of ``a`` (both
+    descending): then a sequence with ``a`` is never worse than one with ``b``."""
+    space = list(a)
+    for x in b:
+        for i, y in enumerate(space):
+            if x <= y:
+                space[i] = y - x
+                break
+        else:
+            return False
+    return True
+
 
-    Depth first from the longest that fits, so the first filling is the
-    best-fit-decreasing incumbent; a branch is left once what remains cannot
-    beat the incumbent's waste.  Of fillings with equal waste the one of
-    fewer, longer pieces stands, as it dominates the rest: short pieces are
-    the easier to place later.
+def fillings(room: int, lengths: list[int], counts: list[int], most: int = 1, nodes: int = FILLINGS) -> tuple[list[tuple[int, ...]], int]:
+    """Up to ``most`` undominated fillings of ``room``, those of least waste first, and the nodes spent.
+
+    ``lengths`` descend, each used at most ``counts`` times.  Depth first from
+    the longest that fits; a branch is left once what remains cannot beat the
+    ``most`` best so far.  Of fillings with equal waste the first found has the
+    longest pieces, and none of the others dominates it.
     """
-    total = np.concatenate([np.cumsum((lengths * counts)[::-1])[::-1], [0]])
-    best: list[int] = []
-    waste = room
-    spent = 0
-    stack: list[tuple[int, int, tuple[int, ...]]] = [(room, 0, ())]
+    n = len(lengths)
+    total = [0] * (n + 1)
+    for i in range(n - 1, -1, -1):
+        total[i] = total[i + 1] + lengths[i] * counts[i]
     asc = lengths[::-1]
-    while stack and waste and spent < nodes:
+    found: list[tuple[int, int, tuple[int, ...]]] = []  # waste, order, lengths
+    stack: list[tuple[int, int, tuple[int, ...]]] = [(room, 0, ())]
+    spent = 0
+    while stack and spent < nodes:
         left, at, chosen = stack.pop()
         spent += 1
-        if left < waste or (left == waste and not best and chosen):
-            waste, best = left, list(chosen)
-            if not waste:
-                break
+        worst = found[-1][0] if len(found) == most else room + 1
+        if not worst:
+            break
         # the longest length that fits, from `at` on
-        fit = max(at, len(lengths) - int(np.searchsorted(asc, left, "right")))
-        if fit >= len(lengths) or left - total[fit] >= waste:
+        fit = max(at, n - bisect_right(asc, left))
+        if left < worst and not any(dominates(f, chosen) for _, _, f in found):
+            found = [x for x in found if not dominates(chosen, x[2])]
+            insort(found, (left, spent, chosen))
+            del found[most:]
+            worst = found[-1][0] if len(found) == most else room + 1
+        if fit >= n or left - total[fit] >= worst:
             continue
-        used = chosen.count(int(lengths[fit]))
+        x = lengths[fit]
         stack.append((left, fit + 1, chosen))  # without this length: later
-        if used < counts[fit]:
-            stack.append((left - int(lengths[fit]), fit, (*chosen, int(lengths[fit]))))
-    return best
+        if chosen.count(x) < counts[fit]:
+            stack.append((left - x, fit, (*chosen, x)))
+    return [f for _, _, f in found], spent
 
 
-def solve(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = FILLINGS) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns (lengths of one sequence) with how many sequences use each.
+def best_fit(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
+    """Best fit decreasing, by whole groups of sequences with equal contents."""
+    groups: list[list[tuple[tuple[int, ...], int]]] = [[] for _ in range(capacity + 1)]
+    rooms: list[int] = []  # that have groups, ascending
 
-    The largest length left opens a sequence, the best filling completes it,
-    and the pattern repeats while its lengths last, but in halves, so that no
-    scarce length is spent all at once on the largest documents.
-    """
-    counts = np.zeros(capacity + 1, np.int64)
-    for k, v in histogram.items():
-        counts[k] = v
+    def put(room: int, pattern: tuple[int, ...], n: int) -> None:
+        if not groups[room]:
+            insort(rooms, room)
+        groups[room].append((pattern, n))
+
+    for ln in sorted((k for k, v in histogram.items() if v), reverse=True):
+        left = histogram[ln]
+        while left:
+            i = bisect_left(rooms, ln)
+            new = i == len(rooms)
+            room, pattern, n = capacity, (), left
+            if not new:
+                room = rooms[i]
+                pattern, n = groups[room].pop()
+                if not groups[room]:
+                    rooms.pop(i)
+            # the fullest that fits is the one just filled, as long as it has room
+            each = min(room // ln, left)
+            m = min(n, left // each)
+            if not new and n > m:
+                put(room, pattern, n - m)
+            put(room - each * ln, pattern + (ln,) * each, m)
+            left -= m * each
+    return [g for room in groups for g in room]
+
+
+def _descend(counts: np.ndarray, capacity: int, slack: int, halves: bool, swerve: dict[int, int], nodes: int, work: int) -> tuple[list[tuple[tuple[int, ...], int]] | None, int, int]:
+    """One path of the search: the patterns, or None once their waste exceeds ``slack``
+    (or ``work`` nodes are spent); its depth; and the nodes spent.  At the steps of
+    ``swerve`` the filling of that rank is taken instead of the first."""
+    counts = counts.copy()
     out: list[tuple[tuple[int, ...], int]] = []
+    spent = 0
     while True:
         have = np.flatnonzero(counts)
         if not len(have):
-            return out
+            return out, len(out), spent
+        if spent >= work:
+            return None, len(out), spent
         big = int(have[-1])
         counts[big] -= 1
         lengths = np.flatnonzero(counts[:capacity - big + 1])[::-1]
-        fill = best_filling(capacity - big, lengths, np.minimum(counts[lengths], capacity // np.maximum(lengths, 1)), nodes) if len(lengths) else []
+        rank = swerve.get(len(out), 0)
+        options, n = fillings(capacity - big, lengths.tolist(), np.minimum(counts[lengths], capacity // np.maximum(lengths, 1)).tolist(), 1 + rank, nodes)
         counts[big] += 1
-        pattern = (big, *fill)
+        spent += n
+        if rank >= len(options):
+            return None, len(out), spent
+        pattern = (big, *options[rank])
         use = np.bincount(pattern, minlength=capacity + 1)
         on = np.flatnonzero(use)
-        times = max(1, int((counts[on] // use[on]).min()))
+        times = int((counts[on] // use[on]).min())
+        times = max(1, (times + 1) // 2 if halves else times)
+        waste = capacity - sum(pattern)
+        if waste:
+            times = min(times, slack // waste)
+            if not times:
+                return None, len(out), spent
+            slack -= waste * times
         counts[on] -= times * use[on]
         out.append((pattern, times))
 
 
+def solve(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = FILLINGS, work: int = WORK) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns (lengths of one sequence) with how many sequences use each.
+
+    Best fit decreasing is the first incumbent.  Bin completion then tries to
+    beat it: the largest length left opens a sequence, a filling completes it,
+    and the pattern repeats while its lengths last, or for half of that, so
+    that no scarce length is spent all at once.  Paths differ from the first
+    choices in no step, then in one, in two and so on, and end once their waste
+    admits no fewer sequences than the incumbent.  The search stops at the
+    lower bound, when no path is left, or after ``work`` nodes.
+    """
+    counts = np.zeros(capacity + 1, np.int64)
+    for k, v in histogram.items():
+        counts[k] = v
+    total = sum(k * v for k, v in histogram.items())
+    best = best_fit(histogram, capacity)
+    size = sum(n for _, n in best)
+    bound = lower_bound(histogram, capacity)
+    depth = 0
+    for swerves in count():
+        if swerves > depth:
+            return best
+        for halves, steps, ranks in ((h, s, r) for s in combinations(range(depth + 1), swerves) for r in product(range(1, WIDTH), repeat=swerves) for h in (False, True)):
+            if size <= bound or work <= 0:
+                return best
+            out, deep, spent = _descend(counts, capacity, (size - 1) * capacity - total, halves, dict(zip(steps, ranks, strict=True)), nodes, work)
+            work -= spent
+            depth = max(depth, deep)
+            if out is not None:
+                best, size = out, sum(n for _, n in out)
+    return best
+
+
 def lower_bound(histogram: dict[int, int], capacity: int = CAPACITY) -> int:
     """Sequences that any packing needs: by total length, and by pieces of which no two fit together."""
     total = sum(k * v for k, v in histogram.items())

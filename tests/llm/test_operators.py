@@ -52,6 +52,35 @@ def test_packing(llm, odd):
     assert packing.pack(odd.limit(0), TOKENIZER).count() == 0
 
 
+def test_packing_without_short_pieces():
+    """Never worse than plain best fit decreasing, piece by piece; the optimum where best fit misses it."""
+    def plain(lengths, capacity):
+        rooms = []
+        for x in sorted(lengths, reverse=True):
+            k = min((k for k, r in enumerate(rooms) if r >= x), key=lambda k: rooms[k], default=None)
+            if k is None:
+                rooms.append(capacity - x)
+            else:
+                rooms[k] -= x
+        return len(rooms)
+
+    rng = np.random.default_rng(5)
+    mixes = [(4096, rng.integers(400, 3001, 600).tolist()), (4096, rng.integers(700, 1500, 400).tolist()), (10, [6, 5, 4, 3, 2] * 3), (10, [5, 4, 4, 3, 2, 2] * 2), (7, [])]
+    for capacity, lengths in mixes:
+        h = Counter(lengths)
+        best = packing.best_fit(h, capacity)
+        assert sum(n for _, n in best) == plain(lengths, capacity)
+        for patterns in (best, packing.solve(h, capacity, work=30_000)):
+            used = Counter()
+            for p, n in patterns:
+                assert n > 0 and sum(p) <= capacity
+                used.update({k: v * n for k, v in Counter(p).items()})
+            assert used == h
+        assert packing.lower_bound(h, capacity) <= sum(n for _, n in patterns) <= plain(lengths, capacity)
+    assert sum(n for _, n in packing.solve(Counter([5, 4, 4, 3, 2, 2] * 2), 10)) == 4
+    assert packing.dominates((5, 3), (3, 3, 2)) and not packing.dominates((4, 4), (5, 3))
+
+
 def test_token_counts_after_edits(odd):
     tok = Tokenizer.from_file(TOKENIZER)
     count = lambda t: len(tok.encode(t, add_special_tokens=False).ids)
