@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, hmm, jaccard, mixing, packing, rules, token_counts, toxicity, warc, weak_labels
+from . import alignment, fingerprints, hmm, jaccard, mixing, packing, rules, token_counts, toxicity, warc, weak_labels
 from .common import fold, ready, table
 
 
-def tokenizer_path() -> str:
-    """The vocabulary file of the queries' tokenizer; operators take it as a parameter."""
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A vocabulary file of the queries' tokenizers; operators take it as a parameter."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -76,4 +80,4 @@ def _ready(fn):
     return run
 
 
-QUERIES = {f.__name__: _ready(f) for f in (op1_hmm_score, op2_jaccard_join, op3_token_counts, op4_fingerprints, op5_packing, op6_weak_labels, op7_toxicity, op8_mixing, op9_rules, op10_warc, pipeline)}
+QUERIES = {f.__name__: _ready(f) for f in (op1_hmm_score, op2_jaccard_join, op3_token_counts, op4_fingerprints, op5_packing, op6_weak_labels, op7_toxicity, op8_mixing, op9_rules, op10_warc, op11_alignment, pipeline)}
