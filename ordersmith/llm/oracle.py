@@ -55,4 +55,47 @@ WITH d AS (
 SELECT doc_id, domain, lang, source, tokens, epoch, CAST(least(tokens, budget - before) AS BIGINT) AS taken FROM s WHERE before < budget
 """
 
-ORACLE_SQL = {"op8_mixing": OP8, "op10_warc": OP10}
+OP12 = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), win AS (
+  SELECT doc_id, p, sha256(array_to_string(ws[p:p + 19], ' ')) AS key FROM d, unnest(range(1, len(ws) - 18)) t(p) WHERE len(ws) >= 20
+), r AS (
+  SELECT doc_id, p, row_number() OVER (PARTITION BY key ORDER BY doc_id, p) AS nth FROM win
+), gone AS (
+  SELECT DISTINCT doc_id, p + j AS i FROM r, range(20) t(j) WHERE nth > 1
+), word AS (
+  SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d
+), kept AS (
+  SELECT w.doc_id, count(*) AS n, string_agg(w.word, ' ' ORDER BY w.i) AS text
+  FROM word w ANTI JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i GROUP BY w.doc_id
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+_TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+OP13 = f"""
+WITH d AS (
+  SELECT doc_id, {_TERMS} AS ts FROM documents
+), s AS (
+  SELECT CAST(count(*) AS BIGINT) AS big_n, CAST(sum(len(ts)) AS BIGINT) AS big_l FROM d WHERE len(ts) > 0
+), o AS (
+  SELECT doc_id, CAST(len(ts) AS BIGINT) AS n, unnest(ts) AS term FROM d
+), v AS (
+  SELECT doc_id, n, term, CAST(count(*) AS BIGINT) AS tf FROM o GROUP BY ALL
+), f AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(big_n) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM v, s GROUP BY term
+), q AS (
+  SELECT item_id, unnest({_TERMS}) AS term FROM benchmark
+), c AS (
+  SELECT q.item_id, v.doc_id, CAST(sum(f.w * ((1000000000 * v.tf) // (1000 * v.tf + 12 * (100 - 25 + (25 * v.n * s.big_n) // s.big_l)))) AS BIGINT) AS score
+  FROM q JOIN v USING (term) JOIN f USING (term), s GROUP BY q.item_id, v.doc_id
+), k AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM c WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 20
+"""
+
+ORACLE_SQL = {"op8_mixing": OP8, "op10_warc": OP10, "op12_substring_dedup": OP12, "op13_lexical_search": OP13}

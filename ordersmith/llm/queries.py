@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, fingerprints, hmm, jaccard, mixing, packing, rules, token_counts, toxicity, warc, weak_labels
+from . import alignment, fingerprints, hmm, jaccard, lexical, mixing, packing, rules, substrings, token_counts, toxicity, warc, weak_labels
 from .common import fold, ready, table
 
 
@@ -66,6 +66,14 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,4 +88,4 @@ def _ready(fn):
     return run
 
 
-QUERIES = {f.__name__: _ready(f) for f in (op1_hmm_score, op2_jaccard_join, op3_token_counts, op4_fingerprints, op5_packing, op6_weak_labels, op7_toxicity, op8_mixing, op9_rules, op10_warc, op11_alignment, pipeline)}
+QUERIES = {f.__name__: _ready(f) for f in (op1_hmm_score, op2_jaccard_join, op3_token_counts, op4_fingerprints, op5_packing, op6_weak_labels, op7_toxicity, op8_mixing, op9_rules, op10_warc, op11_alignment, op12_substring_dedup, op13_lexical_search, pipeline)}
