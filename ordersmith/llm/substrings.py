@@ -143,6 +143,10 @@ def _examined(batch: pa.RecordBatch, length: int, window: int, base: int) -> tup
     return d[first], x[first], g[first], np.diff(np.append(first, len(d))) > 1
 
 
+#: Bits of ``times``: the document holds the window more than once; it repeats within the task's share.
+OFTEN, REPEATED = 1, 2
+
+
 def _settled(rank: np.ndarray, x: np.ndarray, g: np.ndarray, often: np.ndarray) -> pa.RecordBatch:
     """Of rows with one hash the first (by rank) stays open, as repeated if others follow; the others are settled."""
     order = np.lexsort((rank, g, x))
@@ -152,17 +156,18 @@ def _settled(rank: np.ndarray, x: np.ndarray, g: np.ndarray, often: np.ndarray)
     more = np.diff(np.append(np.flatnonzero(new), len(x))) > 1
     repeated = often.copy()
     repeated[new] |= more
-    return pa.RecordBatch.from_arrays([pa.array(rank), pa.array(x.view(np.int64)), pa.array(g), pa.array(often), pa.array(repeated), pa.array(~new)], names=["rank", "h", "g", "often", "repeated", "settled"])
+    return pa.RecordBatch.from_arrays([pa.array(rank), pa.array(x.view(np.int64)), pa.array(g), pa.array((often + 2 * repeated).astype(np.int8)), pa.array(~new)], names=["id", "h", "g", "times", "settled"])
 
 
 def examine(packed: DataFrame, length: int, window: int, base: int) -> DataFrame:
-    """Rows of ``rank, h, g``: the windows of a level, settled within each task's share."""
+    """Rows of ``id, h, g``: the windows of a level, settled within each task's share.  The
+    ids tell documents apart; in the last level they are ranks, in the order of documents."""
 
     def run(batches):
         held, n = [], 0
         for b in T.blocks(batches, "z", T.BLOCK_BYTES // 3):
             d, x, g, often = _examined(b, length, window, base)
-            held.append((T.column(b, "rank").to_numpy()[d], x, g, often))
+            held.append((T.column(b, "id").to_numpy()[d], x, g, often))
             n += len(d)
             if n >= HELD:
                 yield _settled(*(np.concatenate(c) for c in zip(*held, strict=True)))
@@ -170,16 +175,17 @@ def examine(packed: DataFrame, length: int, window: int, base: int) -> DataFrame
         if n:
             yield _settled(*(np.concatenate(c) for c in zip(*held, strict=True)))
 
-    return packed.mapInArrow(run, "rank long, h long, g int, often boolean, repeated boolean, settled boolean")
+    return packed.mapInArrow(run, "id long, h long, g int, times byte, settled boolean")
 
 
 def repeated_windows(rows: DataFrame) -> DataFrame:
-    """``rank, h, first, often``: the windows that repeat, and whether no document before holds them."""
-    w = Window.partitionBy("h", "g").orderBy("rank")
+    """``id, h, first, often``: the windows that repeat, and whether no document of smaller id holds them."""
+    w = Window.partitionBy("h", "g").orderBy("id")
     # an open row for each task's share: a window of very many documents is few rows here
-    open_ = rows.where("not settled").select("rank", "h", "often", "repeated", F.row_number().over(w).alias("at"), F.lead("rank").over(w).alias("next"))
-    open_ = open_.where("at > 1 or next is not null or repeated").select("rank", "h", (F.col("at") == 1).alias("first"), "often")
-    return open_.unionByName(rows.where("settled").select("rank", "h", F.lit(False).alias("first"), "often"))
+    open_ = rows.where("not settled").select("id", "h", "times", F.row_number().over(w).alias("at"), F.lead("id").over(w).alias("next"))
+    open_ = open_.where((F.col("at") > 1) | F.col("next").isNotNull() | (F.col("times") >= REPEATED))
+    often = (F.col("times") % 2 == OFTEN).alias("often")
+    return open_.select("id", "h", (F.col("at") == 1).alias("first"), often).unionByName(rows.where("settled").select("id", "h", F.lit(False).alias("first"), often))
 
 
 def pack(docs: DataFrame) -> DataFrame:
@@ -249,15 +255,18 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, base: int = BASE) -> D
     order = [F.col("doc_id").asc_nulls_first(), F.col("row").asc()]
     ranks = written(one.repartitionByRange(*order).sortWithinPartitions(*order).select("row", F.monotonically_increasing_id().alias("rank")), "substrings-ranks")
     body = packed.select("row", "z")
-    level = body.join(ranks, "row").select("rank", "z")
-    for length in steps:
+    # the first of several levels needs no order, so no join: copies drop out of its result
+    level = body.withColumnRenamed("row", "id") if len(steps) > 1 else body.join(ranks, "row").select(F.col("rank").alias("id"), "z")
+    for i, length in enumerate(steps):
         found = repeated_windows(written(examine(level, length, window, base), f"substrings-{length}"))
         if length < window:
-            passed = found.groupBy("rank").agg(F.collect_list("h").alias("passed")).join(ranks, "rank")
-            level = body.join(passed, "row").select("rank", "z", "passed")
+            passed = found.groupBy("id").agg(F.collect_list("h").alias("passed"))
+            passed = passed.join(ranks, passed["id"] == ranks["rank" if i else "row"]).select("row", "rank", "passed")
+            level = body.join(passed, "row").select(F.col("rank").alias("id"), "z", "passed")
     # windows of a document that is the first to hold them matter only if it repeats them
     own = F.collect_list(F.when(F.col("first"), F.col("h")))
-    listed = found.where("often or not first").groupBy("rank").agg(F.collect_list(F.when(~F.col("first"), F.col("h"))).alias("gone"), own.alias("own")).join(ranks, "rank").drop("rank")
+    listed = found.where("often or not first").groupBy("id").agg(F.collect_list(F.when(~F.col("first"), F.col("h"))).alias("gone"), own.alias("own"))
+    listed = listed.join(ranks, listed["id"] == ranks["rank"]).select("row", "gone", "own")
     cut = written(_cut(body.join(listed, "row"), window, base), "substrings-cut")
     out = packed.select("row", "doc_id", "n_words", "sha").join(ranks, "row", "left").join(cut, "row", "left")
     copy = (F.col("n_words") >= window) & F.col("rank").isNull()

@@ -76,11 +76,11 @@ def test_empty_table(llm, docs_of):
 
 def test_hot_passage_is_one_row_a_share(llm, docs_of):
     rows = docs_of([(i, f"u{i} " + " ".join(f"p{k}" for k in range(40))) for i in range(400)]).coalesce(2)
-    packed = substrings.pack(rows).selectExpr("row as rank", "z")
+    packed = substrings.pack(rows).selectExpr("row as id", "z")
     found = substrings.examine(packed, 20, 20, 20)
     per = found.groupBy("h", "g").agg({"*": "count"}).where("`count(1)` > 1").join(found.where("not settled"), ["h", "g"]).groupBy("h", "g").count()
     assert max(r["count"] for r in per.collect()) <= 2
-    first = substrings.repeated_windows(found).where("first").select("rank").distinct().collect()
+    first = substrings.repeated_windows(found).where("first").select("id").distinct().collect()
     assert len(first) == 1
 
 
