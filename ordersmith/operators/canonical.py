@@ -38,6 +38,9 @@ def latest_first_order(df_columns=UNIFIED_COLUMNS) -> list[Column]:
     return keys + [c(n).desc_nulls_last() for n in rest]
 
 
+_OWN_KEY = "__null_id_row"
+
+
 def dedupe_latest(df: DataFrame, keep_null_ids: bool = False) -> DataFrame:
     """Latest row per ``global_order_id``, with its ``rn`` (always 1).
 
@@ -47,8 +50,10 @@ def dedupe_latest(df: DataFrame, keep_null_ids: bool = False) -> DataFrame:
     task sends at most one row per order, so a hot order id or the NULL
     group costs one row per task, not one task full of rows.
 
-    ``keep_null_ids=True`` lets NULL-id rows bypass the window instead (they
-    get ``rn`` NULL, which the fact's guard accepts).
+    ``keep_null_ids=True`` keeps every NULL-id row instead: each gets a window
+    key of its own (a row number, NULL for rows with an id), so the rows are read
+    once, spread evenly over tasks, and none competes with another; their
+    ``rn`` is NULL, which the fact's guard accepts.
 
     The window is partitioned by ``(xxhash64(id), id)``: the same groups as
     ``id`` alone (NULL ids included: they share one hash), but the sort
@@ -58,15 +63,15 @@ def dedupe_latest(df: DataFrame, keep_null_ids: bool = False) -> DataFrame:
     faster on sf0.1).
     """
     gid = F.col("global_order_id")
-    w = Window.partitionBy(F.xxhash64(gid), gid).orderBy(*latest_first_order(df.columns))
+    key = [F.xxhash64(gid), gid]
+    if keep_null_ids:
+        df = df.withColumn(_OWN_KEY, F.when(gid.isNull(), F.monotonically_increasing_id()))
+        key.append(F.col(_OWN_KEY))
+    w = Window.partitionBy(*key).orderBy(*latest_first_order([c for c in df.columns if c != _OWN_KEY]))
+    ranked = df.withColumn("rn", F.row_number().over(w).cast("bigint")).where(F.col("rn") == 1)
     if keep_null_ids:
-        keyed = df.where(F.col("global_order_id").isNotNull())
-        loose = df.where(F.col("global_order_id").isNull()).withColumn("rn", F.lit(None).cast("bigint"))
-    else:
-        keyed, loose = df, None
-    ranked = (keyed.withColumn("rn", F.row_number().over(w).cast("bigint"))
-                   .where(F.col("rn") == 1))
-    return ranked if loose is None else ranked.unionByName(loose)
+        ranked = ranked.withColumn("rn", F.when(gid.isNotNull(), F.col("rn"))).drop(_OWN_KEY)
+    return ranked
 
 
 def null_id_report(stacked: DataFrame) -> DataFrame:

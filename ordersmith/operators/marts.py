@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import as_of_col, count_true, day_diff, safe_ratio
+from ..session import checkpoint_dir
 
 
 # The fact's carried columns, in output order.
@@ -60,55 +61,66 @@ def fact_orders(canonical: DataFrame) -> DataFrame:
     return canonical.where(guard).select(*FACT_CARRIED).transform(revenue_rule)
 
 
-def _distinct_orders(orders_unique: bool) -> Column:
-    # After dedupe each non-NULL global_order_id occurs once, so the exact
-    # distinct count equals the non-NULL count; that form needs no Expand
-    # and no extra shuffle.  Only a caller that has deduplicated may say so.
-    if orders_unique:
-        return F.count("global_order_id")
-    return F.count_distinct("global_order_id")
+ORDER, CUSTOMER = "global_order_id", "global_customer_id"
 
 
-def _eligible_revenue_metrics() -> list[Column]:
-    n_eligible = count_true(F.col("is_revenue_eligible"))
-    revenue = F.sum("revenue_amount")
-    return [
-        n_eligible.alias("orders_revenue_eligible"),
-        revenue.alias("revenue"),
-        safe_ratio(revenue, n_eligible).alias("aov"),
-    ]
+def _exact_counts(fact: DataFrame, keys: tuple[str, ...], sums: dict[str, Column], orders: str, customers: str) -> DataFrame:
+    """Per ``keys``: the sums, and exact distinct counts of orders and customers,
+    where both may repeat, without the ``Expand`` of several distinct counts
+    (which copies every row once for each of them).
+
+    Key-level stages instead, each combined on the map side: one row per key,
+    order and customer with partial sums; of an order's rows the first stands
+    for it; then one row per key and customer; then one per key.  An order id
+    that very many customers share is sorted with spill, and rows without an
+    order id need no such mark and are spread by customer.
+    """
+    per_pair = fact.groupBy(*keys, ORDER, CUSTOMER).agg(*(e.alias(n) for n, e in sums.items()))
+    alike = Window.partitionBy(*keys, ORDER, F.when(F.col(ORDER).isNull(), F.xxhash64(CUSTOMER))).orderBy(CUSTOMER)
+    stands = F.col(ORDER).isNotNull() & (F.row_number().over(alike) == 1)
+    again = [F.sum(n).alias(n) for n in sums]
+    per_customer = per_pair.withColumn(orders, stands.cast("bigint")).groupBy(*keys, CUSTOMER).agg(*again, F.sum(orders).alias(orders))
+    return per_customer.groupBy(*keys).agg(*again, F.sum(orders).alias(orders), F.count(CUSTOMER).alias(customers))
+
+
+def _grouped(fact: DataFrame, keys: tuple[str, ...], sums: dict[str, Column], orders: str, customers: str, orders_unique: bool) -> DataFrame:
+    """After dedupe each non-NULL ``global_order_id`` occurs once, so the exact
+    distinct count equals the non-NULL count and one distinct count is left, which
+    needs no ``Expand``.  Only a caller that has deduplicated may say so."""
+    if not orders_unique:
+        return _exact_counts(fact, keys, sums, orders, customers)
+    return fact.groupBy(*keys).agg(*(e.alias(n) for n, e in sums.items()), F.count(ORDER).alias(orders), F.count_distinct(CUSTOMER).alias(customers))
+
+
+def _revenue_sums() -> dict[str, Column]:
+    return {"orders_revenue_eligible": count_true(F.col("is_revenue_eligible")), "revenue": F.sum("revenue_amount")}
+
+
+def _aov() -> Column:
+    return safe_ratio(F.col("revenue"), F.col("orders_revenue_eligible")).alias("aov")
 
 
 def kpi_daily_currency(fact: DataFrame, orders_unique: bool = False) -> DataFrame:
     """Per order_date x source_system x currency_canon."""
-    n = F.count(F.lit(1))
-    return fact.groupBy("order_date", "source_system", "currency_canon").agg(
-        n.alias("rows_in_fact"),
-        _distinct_orders(orders_unique).alias("orders_total"),
-        F.count_distinct("global_customer_id").alias("customers_total"),
-        *_eligible_revenue_metrics(),
-        count_true(F.coalesce(F.col("is_cancelled"), F.lit(False))).alias("cancelled_orders"),
-        count_true(F.coalesce(F.col("is_refund_or_return"), F.lit(False))).alias("refunded_or_returned_orders"),
-        safe_ratio(count_true(F.coalesce(F.col("dq_has_issue"), F.lit(False))), n).alias("dq_issue_rate"),
-    )
+    keys = ("order_date", "source_system", "currency_canon")
+    flagged = {n: count_true(F.coalesce(F.col(c), F.lit(False))) for n, c in (("cancelled_orders", "is_cancelled"), ("refunded_or_returned_orders", "is_refund_or_return"), ("n_issues", "dq_has_issue"))}
+    g = _grouped(fact, keys, {"rows_in_fact": F.count(F.lit(1)), **_revenue_sums(), **flagged}, "orders_total", "customers_total", orders_unique)
+    return g.select(*keys, "rows_in_fact", "orders_total", "customers_total", "orders_revenue_eligible", "revenue", _aov(),
+                    "cancelled_orders", "refunded_or_returned_orders", safe_ratio(F.col("n_issues"), F.col("rows_in_fact")).alias("dq_issue_rate"))
 
 
 def kpi_country_daily(fact: DataFrame, orders_unique: bool = False) -> DataFrame:
     """Per order_date x source_system x shipping_country_canon x currency_canon."""
-    return fact.groupBy("order_date", "source_system", "shipping_country_canon", "currency_canon").agg(
-        _distinct_orders(orders_unique).alias("orders_total"),
-        F.count_distinct("global_customer_id").alias("customers_total"),
-        *_eligible_revenue_metrics(),
-    )
+    keys = ("order_date", "source_system", "shipping_country_canon", "currency_canon")
+    g = _grouped(fact, keys, _revenue_sums(), "orders_total", "customers_total", orders_unique)
+    return g.select(*keys, "orders_total", "customers_total", "orders_revenue_eligible", "revenue", _aov())
 
 
 def kpi_status_daily(fact: DataFrame, orders_unique: bool = False) -> DataFrame:
     """Per order_date x source_system x order_status_canon."""
-    return fact.groupBy("order_date", "source_system", "order_status_canon").agg(
-        _distinct_orders(orders_unique).alias("orders"),
-        F.count_distinct("global_customer_id").alias("customers"),
-        F.sum("revenue_amount").alias("revenue_eligible_only"),
-    )
+    keys = ("order_date", "source_system", "order_status_canon")
+    g = _grouped(fact, keys, {"revenue_eligible_only": F.sum("revenue_amount")}, "orders", "customers", orders_unique)
+    return g.select(*keys, "orders", "customers", "revenue_eligible_only")
 
 
 # --- customer dimension ---------------------------------------------------
@@ -190,6 +202,18 @@ DIM_COLUMNS = (
 )
 
 
+def _per_email(fact: DataFrame) -> DataFrame:
+    """Customer x source x currency x email, over the fact rows: fixed-width metrics only."""
+    return customer_base(fact).groupBy(*CUSTOMER_KEYS, "currency_canon", "email").agg(
+        F.min("order_date").alias("first_any"),
+        F.max("order_date").alias("last_any"),
+        F.min(_eligible_date()).alias("first_elig"),
+        F.max(_eligible_date()).alias("last_elig"),
+        count_true(F.col("is_revenue_eligible")).alias("n"),
+        F.sum("revenue_amount").alias("revenue"),
+    )
+
+
 def dim_customers(fact: DataFrame, as_of: _dt.date | str | None = None) -> DataFrame:
     """P27 without joins, in three aggregation levels.
 
@@ -206,16 +230,7 @@ def dim_customers(fact: DataFrame, as_of: _dt.date | str | None = None) -> DataF
     Three exchanges, the last two over aggregated rows, against
     three branches and two joins in :func:`dim_customers_joined`.
     """
-    elig = F.col("is_revenue_eligible")
-    per_email = customer_base(fact).groupBy(*CUSTOMER_KEYS, "currency_canon", "email").agg(
-        F.min("order_date").alias("first_any"),
-        F.max("order_date").alias("last_any"),
-        F.min(_eligible_date()).alias("first_elig"),
-        F.max(_eligible_date()).alias("last_elig"),
-        count_true(elig).alias("n"),
-        F.sum("revenue_amount").alias("revenue"),
-    )
-    per_currency = per_email.groupBy(*CUSTOMER_KEYS, "currency_canon").agg(
+    per_currency = _per_email(fact).groupBy(*CUSTOMER_KEYS, "currency_canon").agg(
         F.min("email").alias("email"),
         F.min("first_any").alias("first_any"),
         F.max("last_any").alias("last_any"),
@@ -241,9 +256,31 @@ def dim_customers(fact: DataFrame, as_of: _dt.date | str | None = None) -> DataF
 
 def dim_customers_joined(fact: DataFrame, as_of: _dt.date | str | None = None) -> DataFrame:
     """P27 with J01: the lifetime aggregate left-joined on both customer keys
-    to the primary currency and the currency count."""
-    counts = currency_counts(fact)
-    joined = (customer_lifetime(fact)
+    to the primary currency and the currency count.
+
+    The three branches share one base: the fact's rows combined per customer,
+    currency and email (so a hot customer is a few rows), dealt out once by the
+    customer keys and checkpointed to the shared folder.  The checkpoint keeps
+    that partitioning, so every branch and both joins work on it in place, and
+    whatever is behind the fact (the dedupe) runs once; a lost executor costs a
+    read of the checkpoint.  Without it each branch would prune its own columns
+    and compute the fact for itself.
+    """
+    spark = fact.sparkSession
+    checkpoint_dir(spark)  # the shared folder must be known
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = _per_email(fact).repartition(parts, *CUSTOMER_KEYS).checkpoint()
+    lifetime = base.groupBy(*CUSTOMER_KEYS).agg(
+        F.min("email").alias("any_email"),
+        F.min("first_any").alias("first_order_date_any"),
+        F.max("last_any").alias("last_order_date_any"),
+        F.min("first_elig").alias("first_order_date_revenue_eligible"),
+        F.max("last_elig").alias("last_order_date_revenue_eligible"),
+        F.sum("n").alias("lifetime_orders_revenue_eligible"),
+        F.sum("revenue").alias("lifetime_revenue"),
+    )
+    counts = base.groupBy(*CUSTOMER_KEYS, "currency_canon").agg(F.sum("n").alias("eligible_orders_in_currency"))
+    joined = (lifetime
               .join(primary_currency(counts).drop("eligible_orders_in_currency"), list(CUSTOMER_KEYS), "left")
               .join(multi_currency(counts), list(CUSTOMER_KEYS), "left"))
     return _recency(joined, as_of).select(*DIM_COLUMNS)
@@ -258,7 +295,7 @@ def kpi_freshness_lag(fact: DataFrame, orders_unique: bool = False) -> DataFrame
     return (fact.where(F.col("ingest_date").isNotNull() & F.col("order_date").isNotNull())
             .groupBy("ingest_date", "source_system").agg(
                 n.alias("rows_loaded"),
-                _distinct_orders(orders_unique).alias("orders_loaded"),
+                (F.count(ORDER) if orders_unique else F.count_distinct(ORDER)).alias("orders_loaded"),
                 F.avg(lag).alias("avg_lag_days"),
                 F.max(lag).alias("max_lag_days"),
                 late.alias("late_orders_gt_2d"),

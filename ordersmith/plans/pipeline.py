@@ -6,6 +6,7 @@ the first shuffle is the dedupe window.  :func:`full_refresh` writes each
 table once and builds the five marts from the *written* fact, so the fact
 is computed once (not five times), lineage is cut at a durable table, and a
 lost executor costs a re-read of files rather than a recompute from raw.
+All tables of a refresh become visible in one step (``versions``).
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ from ..operators import (
     unify_storefront,
 )
 from ..session import require
-from .sinks import read_table, write_named
+from . import versions
+from .sinks import LAYOUTS, read_table, write_table
 
 AsOf = _dt.date | str | None
 
@@ -62,16 +64,18 @@ def marts(fact_df: DataFrame, as_of: AsOf = None) -> dict[str, DataFrame]:
 
 
 def full_refresh(spark: SparkSession, raw_marketplace: DataFrame, raw_storefront: DataFrame,
-                 root: str, as_of: AsOf = None, write_staging: bool = False,
-                 write_canonical: bool = False, keep_null_ids: bool = False) -> dict[str, str]:
-    """Rebuild the tables under ``root`` (a shared folder); returns paths.
-
-    Each table that is written is read back by the steps after it, so a raw
-    feed is scanned once and a lost executor costs a file read.  The fact is
-    always written; staging, the stacked table and the canonical table are
-    narrow steps before it and written only when asked, since at scale each is
-    another full copy of the order data (``keep_null_ids`` writes the stacked
-    table too, since it reads it twice).  Refuses a session that is not set to
+                 root: str, as_of: AsOf = None, write_staging: bool = True,
+                 write_canonical: bool = True, keep_null_ids: bool = False) -> dict[str, str]:
+    """Rebuild the ten tables under ``root`` (a shared folder) and publish them
+    together; returns the paths of the new versions.
+
+    Each table is written to a fresh folder and read back by the steps after it,
+    so a raw feed is scanned once and a lost executor costs a file read.  Readers
+    (:func:`ordersmith.plans.versions.open_table`) keep the old tables until
+    all new ones are written, then see all new ones.  At scale staging, the
+    stacked table and the canonical table are each another full copy of the order
+    data: ``write_staging=False`` leaves out the first three, ``write_canonical=False``
+    the last, and neither changes the others.  Refuses a session that is not set to
     UTC and ANSI; a missing ``as_of`` is today, resolved once for all tables.
     """
     require(spark)
@@ -79,20 +83,25 @@ def full_refresh(spark: SparkSession, raw_marketplace: DataFrame, raw_storefront
         as_of = spark.sql("SELECT current_date() AS today").first()["today"]
     paths: dict[str, str] = {}
 
+    def put(df: DataFrame, name: str) -> None:
+        paths[name] = versions.fresh_path(root, name)
+        write_table(df, paths[name], LAYOUTS[name])
+
     def landed(df: DataFrame, name: str) -> DataFrame:
-        paths[name] = write_named(df, root, name)
+        put(df, name)
         return read_table(spark, paths[name], df.schema)
 
     m, s = stage_marketplace(raw_marketplace, as_of), stage_storefront(raw_storefront, as_of)
     if write_staging:
         m, s = landed(m, "stg_amazon_orders"), landed(s, "stg_shopify_orders")
     stack = stack_orders(unify_marketplace(m), unify_storefront(s))
-    if write_staging or keep_null_ids:  # rows with and without an id are two branches over the stacked rows
+    if write_staging:
         stack = landed(stack, "int_amazon_shopify_orders")
     canon = canonical_orders(stack, keep_null_ids=keep_null_ids)
     if write_canonical:
         canon = landed(canon, "int_orders_canonical")
     fact_back = landed(fact_orders(canon), "mart_fact_orders")
     for name, df in marts(fact_back, as_of).items():
-        paths[name] = write_named(df, root, name)
+        put(df, name)
+    versions.publish(spark, root, paths)
     return paths

@@ -19,9 +19,9 @@ from pyspark.sql import types as T
 from .. import operators as op
 from ..session import scratch_path
 from ..sources.feeds import AS_OF, feeds_from_dir
-from ..sources.files import read_feed_csv, write_feed_csv
+from ..sources.files import TIMESTAMP_FORMAT, append_feed_csv, load_feed_csv, read_feed_csv, write_feed_csv
 from ..sources.schema import MARKETPLACE_RAW, STOREFRONT_RAW, UNIFIED_COLUMNS
-from . import pipeline
+from . import pipeline, versions
 from .sinks import LAYOUTS, read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -204,20 +204,33 @@ def sink_roundtrip(spark, sf_dir):
 
 
 def sink_overwrite(spark, sf_dir):
-    """Write the fact twice to one path, first with every day moved back 40 years,
-    in a session set to keep the days a write lacks; a refresh must leave only
-    the second write (S04)."""
+    """Replace a published table twice, first by the fact with every day moved back
+    40 years, in a session set to keep the days a write lacks; a reader must then
+    see the second version alone (S04)."""
     fact = _fact(spark, sf_dir)
-    path = scratch_path(spark, "mart_fact_orders")
+    root, name = scratch_path(spark, "replaced"), "mart_fact_orders"
     mode = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(mode, None)
     spark.conf.set(mode, "dynamic")
     try:
-        write_table(fact.withColumn("order_date", F.add_months("order_date", -480)), path, LAYOUTS["mart_fact_orders"])
-        write_table(fact, path, LAYOUTS["mart_fact_orders"])
+        versions.replace_table(fact.withColumn("order_date", F.add_months("order_date", -480)), root, name)
+        versions.replace_table(fact, root, name)
     finally:
         spark.conf.unset(mode) if before is None else spark.conf.set(mode, before)
-    return present(read_table(spark, path, fact.schema))
+    return present(versions.open_table(spark, root, name, fact.schema))
+
+
+def refresh_ten_tables(spark, sf_dir):
+    """One full refresh of the ten tables, published together; the rows of each
+    table as a reader finds them (S03, S04)."""
+    m, s = feeds_from_dir(spark, sf_dir)
+    root = scratch_path(spark, "refreshed")
+    pipeline.full_refresh(spark, m, s, root, AS_OF)
+    rows = None
+    for name, path in sorted(versions.current(spark, root).items()):
+        n = spark.read.parquet(path).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+        rows = n if rows is None else rows.unionByName(n)
+    return rows
 
 
 def raw_csv_scan(spark, sf_dir):
@@ -233,6 +246,40 @@ def raw_csv_scan(spark, sf_dir):
     return present(pipeline.stacked(m2, s2, AS_OF).select(*UNIFIED_COLUMNS))
 
 
+# Stand-in dirt for CSV lines: order ids with these endings get a bad number, a bad time, a short row.
+BAD_NUMBER, BAD_TIME, SHORT_ROW = "17", "23", "41"
+
+
+def _dirty_csv(spark, sf_dir) -> str:
+    """The marketplace feed as a CSV snapshot in which some lines are malformed."""
+    m, _ = feeds_from_dir(spark, sf_dir)
+    ends = F.col("amazon_order_id").endswith
+    times = [f.name for f in MARKETPLACE_RAW.fields if isinstance(f.dataType, T.TimestampType)]
+    lines = m.withColumns({n: F.date_format(n, TIMESTAMP_FORMAT) for n in times})
+    lines = lines.withColumn("order_total", F.when(ends(BAD_NUMBER), F.lit("12,5 EUR")).otherwise(F.col("order_total").cast("string")))
+    lines = lines.withColumn("purchase_date", F.when(ends(BAD_TIME), F.lit("yesterday")).otherwise(F.col("purchase_date")))
+    path = scratch_path(spark, "dirty_amazon_orders")
+    short = F.coalesce(ends(SHORT_ROW), F.lit(False))
+    write_feed_csv(lines.where(~short), path)
+    append_feed_csv(lines.where(short).select(*MARKETPLACE_RAW.fieldNames()[:6]), path)
+    return path
+
+
+def raw_csv_malformed(spark, sf_dir):
+    """S07: load and stage a snapshot with malformed lines; every row is there, bad
+    fields are NULL, and the row says so."""
+    raw = load_feed_csv(spark, _dirty_csv(spark, sf_dir), MARKETPLACE_RAW)
+    return present(op.stage_marketplace(raw, AS_OF).select(
+        *MARKETPLACE_RAW.fieldNames(), "dq_row_is_malformed", "dq_order_total_is_null", "dq_purchase_date_is_null",
+        "dq_currency_is_null"))
+
+
+def dedupe_keep_null_ids(spark, sf_dir):
+    """P09 with every row of NULL id kept: latest row per id, ``rn`` NULL for the others."""
+    m, s = feeds_from_dir(spark, sf_dir)
+    return present(op.dedupe_latest(pipeline.stacked(m, s, AS_OF), keep_null_ids=True))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     stage_amazon_clean, stage_amazon_dq, stage_shopify_clean, stage_shopify_dq,
     unify_amazon, unify_shopify, stack_orders, dedupe_latest,
@@ -241,5 +288,6 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     kpi_daily_currency, kpi_daily_currency_exact, kpi_country_daily, kpi_status_daily,
     customer_lifetime, currency_counts, primary_currency, multi_currency,
     dim_customers, dim_customers_joined, kpi_freshness_lag,
-    sink_roundtrip, sink_overwrite, raw_csv_scan, null_id_report,
+    sink_roundtrip, sink_overwrite, refresh_ten_tables, raw_csv_scan, raw_csv_malformed, null_id_report,
+    dedupe_keep_null_ids,
 )}

@@ -11,8 +11,11 @@ spaces are part of the dirt the pipeline must clean.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .contract import check_files
+
 # The snapshot timestamp layout.
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS VV"
 TIMESTAMP_READ_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS] VV"
@@ -36,14 +39,43 @@ _CSV_OPTIONS = {
 }
 
 
-def csv_read_options(multi_line: bool = False) -> dict:
+#: The flag of a row that does not parse whole, and its text as it stands in the file.
+MALFORMED, MALFORMED_LINE = "dq_row_is_malformed", "malformed_line"
+
+
+def csv_read_options(multi_line: bool = False, flag_malformed: bool = False) -> dict:
     """Reader options for the snapshot format (shared by batch and stream)."""
+    mode = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED_LINE} if flag_malformed else {"mode": "FAILFAST"}
     return {**_CSV_OPTIONS, "nullValue": _READ_NULL_MARKER, "emptyValue": "",
-            "timestampFormat": TIMESTAMP_READ_FORMAT, "multiLine": str(multi_line).lower(), "mode": "FAILFAST"}
+            "timestampFormat": TIMESTAMP_READ_FORMAT, "multiLine": str(multi_line).lower(), **mode}
+
+
+def with_line(schema: T.StructType) -> T.StructType:
+    """``schema`` and the column in which a permissive read puts a malformed row's text."""
+    return T.StructType([*schema.fields, T.StructField(MALFORMED_LINE, T.StringType())])
+
+
+def flagged(raw: DataFrame) -> DataFrame:
+    """The row's text replaced by ``dq_row_is_malformed`` after it; the text of good rows is NULL."""
+    columns = [c for c in raw.columns if c != MALFORMED_LINE]
+    return raw.select(*columns, F.col(MALFORMED_LINE).isNotNull().alias(MALFORMED), MALFORMED_LINE)
+
+
+def load_feed_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """Scan a CSV feed in which rows may be malformed: flagged, never dropped.
+
+    A field that does not parse as its type is NULL, and so are fields that a
+    short row lacks; the row's other fields are kept, ``dq_row_is_malformed`` is
+    TRUE and ``malformed_line`` holds the row as it stands in the file (also for
+    a row with fields too many).  Like any new raw column, both flow through
+    staging and stop at the unified columns.
+    """
+    return flagged(spark.read.schema(with_line(schema)).options(**csv_read_options(multi_line, flag_malformed=True)).csv(path))
 
 
 def read_feed_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
-    """Scan a CSV feed with its declared schema (no inference pass).
+    """Scan a CSV feed with its declared schema (no inference pass); a malformed row
+    ends the load with an error (:func:`load_feed_csv` flags it instead).
 
     One record per line by default, so that Spark can split large files.  Pass
     ``multi_line=True`` for feeds whose quoted values hold line breaks; each of
@@ -56,5 +88,13 @@ def write_feed_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**_CSV_OPTIONS).csv(path)
 
 
-def read_feed_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def append_feed_csv(df: DataFrame, path: str) -> None:
+    """Land more files beside those of ``path``."""
+    df.write.mode("append").options(**_CSV_OPTIONS).csv(path)
+
+
+def read_feed_parquet(spark: SparkSession, path: str, schema: T.StructType, every_file: bool = False) -> DataFrame:
+    """Scan a Parquet feed.  Columns beyond the declared ones are left out; one that
+    is missing, renamed or of another type is an error, not NULLs."""
+    check_files(spark, path, schema, extra_allowed=True, every_file=every_file)
     return spark.read.schema(schema).parquet(path)

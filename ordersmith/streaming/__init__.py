@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import stage_marketplace, stage_storefront
-from ..sources.files import csv_read_options
+from ..sources.files import csv_read_options, flagged, with_line
 from ..sources.schema import MARKETPLACE_RAW, STOREFRONT_RAW
 
 _FEEDS = {
@@ -25,12 +25,16 @@ _FEEDS = {
 
 
 def stage_feed_stream(spark: SparkSession, path: str, feed: str,
-                      as_of: _dt.date | str | None = None, multi_line: bool = False) -> DataFrame:
+                      as_of: _dt.date | str | None = None, multi_line: bool = False,
+                      flag_malformed: bool = False) -> DataFrame:
     """A streaming DataFrame of staged rows for CSV files landing in ``path``
-    (``multi_line`` as in :func:`ordersmith.sources.files.read_feed_csv`)."""
+    (``multi_line`` as in :func:`ordersmith.sources.files.read_feed_csv`).  A
+    malformed row ends the stream, or is flagged as by ``load_feed_csv``."""
     schema, stage = _FEEDS[feed]
-    raw = spark.readStream.schema(schema).options(**csv_read_options(multi_line)).csv(path)
-    return stage(raw, as_of)
+    reader = spark.readStream.options(**csv_read_options(multi_line, flag_malformed))
+    if flag_malformed:
+        return stage(flagged(reader.schema(with_line(schema)).csv(path)), as_of)
+    return stage(reader.schema(schema).csv(path), as_of)
 
 
 def land_staged(staged: DataFrame, table_path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
