@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import as_of_col, count_true, day_diff, safe_ratio
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, planned_ahead
 
 
 # The fact's carried columns, in output order.
@@ -259,17 +259,20 @@ def dim_customers_joined(fact: DataFrame, as_of: _dt.date | str | None = None) -
     to the primary currency and the currency count.
 
     The three branches share one base: the fact's rows combined per customer,
-    currency and email (so a hot customer is a few rows), dealt out once by the
-    customer keys and checkpointed to the shared folder.  The checkpoint keeps
-    that partitioning, so every branch and both joins work on it in place, and
-    whatever is behind the fact (the dedupe) runs once; a lost executor costs a
-    read of the checkpoint.  Without it each branch would prune its own columns
-    and compute the fact for itself.
+    currency and email (so a hot customer is a few rows) and checkpointed to the
+    shared folder, so whatever is behind the fact (the dedupe) runs once; without
+    it each branch would prune its own columns and compute the fact for itself.
+    The base is then dealt out once by the customer keys and checkpointed again,
+    planned ahead (a plan that may change as it runs has no known partitioning):
+    every branch and both joins work on these partitions in place.  A lost
+    executor costs a read of the checkpoint.
     """
     spark = fact.sparkSession
     checkpoint_dir(spark)  # the shared folder must be known
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = _per_email(fact).repartition(parts, *CUSTOMER_KEYS).checkpoint()
+    base = _per_email(fact).checkpoint()
+    with planned_ahead(spark):
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        base = base.repartition(parts, *CUSTOMER_KEYS).checkpoint()
     lifetime = base.groupBy(*CUSTOMER_KEYS).agg(
         F.min("email").alias("any_email"),
         F.min("first_any").alias("first_order_date_any"),

@@ -10,6 +10,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -80,6 +82,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+@contextmanager
+def planned_ahead(spark: SparkSession) -> Iterator[None]:
+    """Jobs inside keep the plan they start with (no adaptive changes)."""
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint folder for written intermediates."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -45,7 +45,9 @@ MALFORMED, MALFORMED_LINE = "dq_row_is_malformed", "malformed_line"
 
 def csv_read_options(multi_line: bool = False, flag_malformed: bool = False) -> dict:
     """Reader options for the snapshot format (shared by batch and stream)."""
-    mode = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED_LINE} if flag_malformed else {"mode": "FAILFAST"}
+    # a short row is malformed whichever of its columns a query reads
+    flag = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED_LINE, "columnPruning": "false"}
+    mode = flag if flag_malformed else {"mode": "FAILFAST"}
     return {**_CSV_OPTIONS, "nullValue": _READ_NULL_MARKER, "emptyValue": "",
             "timestampFormat": TIMESTAMP_READ_FORMAT, "multiLine": str(multi_line).lower(), **mode}
 
@@ -58,7 +60,11 @@ def with_line(schema: T.StructType) -> T.StructType:
 def flagged(raw: DataFrame) -> DataFrame:
     """The row's text replaced by ``dq_row_is_malformed`` after it; the text of good rows is NULL."""
     columns = [c for c in raw.columns if c != MALFORMED_LINE]
-    return raw.select(*columns, F.col(MALFORMED_LINE).isNotNull().alias(MALFORMED), MALFORMED_LINE)
+    # Spark parses only the columns that a query reads and refuses one that reads the
+    # malformed text alone.  So the flag names every column, in a part that is never
+    # TRUE (a negative number of NULLs), and is the same in every query.
+    n_nulls = sum((F.col(c).isNull().cast("int") for c in columns), F.lit(0))
+    return raw.select(*columns, (F.col(MALFORMED_LINE).isNotNull() | (n_nulls < 0)).alias(MALFORMED), MALFORMED_LINE)
 
 
 def load_feed_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
