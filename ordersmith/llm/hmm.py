@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import written
+from .common import small_batches, written
 
 #: The end token's hash: that of no bytes.
 END = T.hash_spans(np.zeros(0, np.uint8), np.zeros(1, np.int64), np.zeros(1, np.int64))[0]
@@ -342,10 +342,12 @@ def baum_welch_round(encoded: DataFrame, m: Model, prior: np.ndarray) -> Model:
 
 def train(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> tuple[Vocabulary, Model, DataFrame, DataFrame]:
     """Vocabulary, model, counts and encoded rows of ``docs`` (``doc_id, text, held_out``)."""
-    counts = written(count_tokens(docs.where("not held_out")), "hmm-counts")
+    with small_batches(docs.sparkSession):  # whole texts
+        counts = written(count_tokens(docs.where("not held_out")), "hmm-counts")
     v = vocabulary(counts)
     prior = (v.class_counts + 1.0) / (v.class_counts.sum() + v.classes)
-    enc = encode(docs, v)
+    with small_batches(docs.sparkSession):
+        enc = encode(docs, v)
     n_texts = counts.where(F.col("token") == F.lit(int(END.astype(np.int64)))).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     few = enc.where("not held_out").where(F.pmod(F.xxhash64("row"), F.lit(-(-n_texts // START_TEXTS) or 1)) == 0).select("classes").orderBy("classes")
     first = [np.frombuffer(r, "<u2").astype(np.int64) for r in few.toPandas()["classes"]]
