@@ -113,6 +113,18 @@ def _sketch(docs: DataFrame, bands: int, rows: int, seed: int, permutations: int
     return texts(docs).mapInArrow(run, "doc_id long, k1 long, k2 long, n_shingles long, bands array<long>")
 
 
+def _numbered_sets(docs: DataFrame) -> DataFrame:
+    """The class number ``rep`` that comes with each text, and its sorted distinct shingles as bytes."""
+
+    def run(batches):
+        for b in T.blocks(batches):
+            h, doc, _, _ = T.words(*T.utf8(T.column(b, "text")))
+            sh, sd = T.shingles(h, doc, SHINGLE, b.num_rows)
+            yield pa.RecordBatch.from_arrays([T.column(b, "rep"), pa.array([s.tobytes() for s in T.sets(sh, sd, b.num_rows)], pa.binary())], names=["rep", "shingles"])
+
+    return docs.mapInArrow(run, "rep long, shingles binary")
+
+
 def _shingle_sets(docs: DataFrame) -> DataFrame:
     """The class key of each document and its sorted distinct shingles as bytes."""
 
@@ -247,11 +259,19 @@ def groups(docs: DataFrame, bands: int, rows: int, seed: int, permutations: int,
     wanted = written(pair.select(F.col("a").alias("w")).union(pair.select("b")).union(hot.select("c_rep")).distinct(), "jaccard-wanted")
     low = F.coalesce("low_id", F.lit(-(1 << 63)))  # for null; what it picks in excess has another key
     wanted = written(classes.join(wanted, F.col("rep") == F.col("w")).select(*KEY, "rep", low.alias("w_id")), "jaccard-wanted-keys")
-    # few enough ids go to every task, and the texts stay where they are; else the texts are dealt out by id
-    ids = written(wanted.select("w_id").distinct(), "jaccard-wanted-ids")
-    picked = texts(docs).join(sendable(ids), F.coalesce("doc_id", F.lit(-(1 << 63))) == F.col("w_id"), "left_semi")
-    # an id may stand on other texts too: the key tells them apart
-    sets = written(_shingle_sets(picked).dropDuplicates(KEY).join(wanted, KEY).select("rep", "shingles"), "jaccard-sets")
+    # An id that stands on one row alone carries its class number to the text, so a set is made
+    # once and stays where it is.  Few enough of these ids go to every task, and the texts
+    # stay where they are; else the texts are dealt out by id.
+    alone = member.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("m")).where("m = 1").select(F.col("doc_id").alias("w_id"))
+    one = written(wanted.join(alone, "w_id").select("w_id", "rep"), "jaccard-wanted-one")
+    sets = _numbered_sets(texts(docs).join(sendable(one), F.col("doc_id") == F.col("w_id")).select("rep", "text"))
+    # a null or repeated id may stand on other texts too: the key tells them apart
+    many = written(wanted.join(one.select("rep"), "rep", "left_anti"), "jaccard-wanted-many")
+    if not many.isEmpty():
+        ids = written(many.select("w_id").distinct(), "jaccard-wanted-ids")
+        picked = texts(docs).join(sendable(ids), F.coalesce("doc_id", F.lit(-(1 << 63))) == F.col("w_id"), "left_semi")
+        sets = sets.unionByName(_shingle_sets(picked).dropDuplicates(KEY).join(many, KEY).select("rep", "shingles"))
+    sets = written(sets, "jaccard-sets")
 
     with_a = pair.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
     with_b = with_a.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
