@@ -2,9 +2,13 @@
 
 A record is a run of rows ``(record, chunk)``: row 0 holds the header, every
 row at most ``chunk_bytes`` of the payload, and each carries the SHA-1 of the
-payload up to its end.  A payload of any size is therefore written and read
-one chunk at a time; nothing allocates the record whole.  Header, chunks in
-order and two line ends are the record's bytes in a WARC file.
+payload up to its end.  A payload is written and read back one chunk at a time;
+only the page's own row, which the table holds whole, is larger.  Header, chunks
+in order and two line ends are the record's bytes in a WARC file.
+
+A record's id names its page and row, that of a response of at least ``least``
+bytes its page and payload digest, which is what its revisits refer to (rows
+that repeat both id and payload are one capture and share it).
 
 Records with payloads equal in bytes and at least ``least`` long share one
 response: that with the largest ``page_id``; the others are revisits without
@@ -17,6 +21,7 @@ empty archive.
 from __future__ import annotations
 
 import hashlib
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,18 +50,23 @@ def plan_records(pages: DataFrame, least: int = LEAST) -> DataFrame:
                     F.when(~revisit, F.col("payload")).alias("payload"))
 
 
-def _header(record: int, page_id, url, digest: str, size: int, refers_to) -> str:
+def _header(record: int, page_id, url, digest: str, size: int, refers_to, date: str, least: int) -> str:
     kind = "response" if refers_to is None else "revisit"
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}:{record}>",
+    own = digest if refers_to is None and size >= least else record
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}:{own}>", f"WARC-Date: {date}",
              f"WARC-Target-URI: {(url or '').translate(dict.fromkeys((10, 13), ' '))}", f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Payload-Length: {size}",
              f"Content-Length: {size if refers_to is None else 0}"]
     if refers_to is not None:
-        lines.append(f"WARC-Refers-To: <urn:page:{refers_to}>")
+        lines.append(f"WARC-Refers-To: <urn:page:{refers_to}:{digest}>")
+        lines.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
     return "\r\n".join(lines) + "\r\n\r\n"
 
 
-def write_archive(records: DataFrame, name: str = "warc", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """The chunked record table, written to the shared folder."""
+def write_archive(records: DataFrame, name: str = "warc", chunk_bytes: int = CHUNK_BYTES, least: int = LEAST, date: str | None = None) -> DataFrame:
+    """The chunked record table, written to the shared folder.  ``date`` is the records'
+    WARC-Date (``YYYY-MM-DDThh:mm:ssZ``), by default the time at which the writing begins;
+    ``least`` as given to ``plan_records``."""
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def chunks(batches):
         for b in batches:
@@ -73,7 +83,7 @@ def write_archive(records: DataFrame, name: str = "warc", chunk_bytes: int = CHU
                     sha.update(piece)
                     at += len(piece)
                     held += len(piece)
-                    rows.append((record, k, at >= len(body), _header(record, page_id, url, digest, size, refers) if k == 0 else None,
+                    rows.append((record, k, at >= len(body), _header(record, page_id, url, digest, size, refers, date, least) if k == 0 else None,
                                  bytes(piece), sha.hexdigest() if refers is None else digest))
                     if held > (4 << 20):
                         yield _rows(rows)
@@ -133,10 +143,10 @@ def read_archive(archive: DataFrame) -> DataFrame:
     r = one.unionByName(many)
     kind, want, size = field("WARC-Type", "(\\w+)"), field("WARC-Payload-Digest", "sha1:([0-9a-f]{40})"), field("WARC-Payload-Length", "(\\d+)").cast("long")
     return r.select(
-        field("WARC-Record-ID", "<urn:page:(-?\\d*):-?\\d+>").alias("id_text"), F.col("record"), kind.alias("record_type"),
+        field("WARC-Record-ID", "<urn:page:(-?\\d*):[0-9a-f]+>").alias("id_text"), F.col("record"), kind.alias("record_type"),
         F.when(kind == "response", F.col("bytes")).otherwise(size).alias("payload_bytes"),
         F.when(kind == "response", F.col("sha1")).otherwise(want).alias("payload_digest"),
-        F.regexp_extract("warc_header", r"\r\nWARC-Refers-To: <urn:page:(-?\d+)>\r\n", 1).alias("refers_text"),
+        F.regexp_extract("warc_header", r"\r\nWARC-Refers-To: <urn:page:(-?\d+):[0-9a-f]{40}>\r\n", 1).alias("refers_text"),
         ((kind == "revisit") | ((F.col("sha1") == want) & (F.col("bytes") == size))).alias("digest_ok"),
     ).select(F.col("id_text").try_cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
              F.col("refers_text").try_cast("long").alias("refers_to"), "record", "digest_ok")
@@ -144,4 +154,4 @@ def read_archive(archive: DataFrame) -> DataFrame:
 
 def archive_pages(pages: DataFrame, chunk_bytes: int = CHUNK_BYTES, least: int = LEAST) -> DataFrame:
     """Pages written as WARC records and read back."""
-    return read_archive(write_archive(plan_records(pages, least), chunk_bytes=chunk_bytes))
+    return read_archive(write_archive(plan_records(pages, least), chunk_bytes=chunk_bytes, least=least))

@@ -247,3 +247,17 @@ def test_warc_round_trip(llm):
     want = Counter((i, len((h or "").encode()), hashlib.sha1((h or "").encode()).hexdigest(), "revisit" if h == big and i != 2 else "response", 2 if h == big and i != 2 else None) for i, _, h in rows)
     assert Counter((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got) == want
     assert warc.archive_pages(pages.limit(0)).count() == 0
+
+
+def test_warc_revisits_name_a_record(llm):
+    rows = [(i, "u", "payload " * (200 + i % 3)) for i in range(30)] + [(31, "u", "small"), (32, "u", "small"), (None, "u", "payload " * 200)]
+    pages = llm.createDataFrame(rows, "page_id long, url string, html string")
+    heads = [r["warc_header"] for r in warc.write_archive(warc.plan_records(pages), date="2020-01-02T03:04:05Z").where("chunk = 0").collect()]
+    fields = [dict(line.split(": ", 1) for line in h.strip().split("\r\n")[1:]) for h in heads]
+    own = {f["WARC-Record-ID"]: f for f in fields}
+    assert len(own) == len(rows) and all(f["WARC-Date"] == "2020-01-02T03:04:05Z" for f in fields)
+    revisits = [f for f in fields if f["WARC-Type"] == "revisit"]
+    assert len(revisits) == 28
+    for f in revisits:
+        target = own[f["WARC-Refers-To"]]
+        assert target["WARC-Type"] == "response" and target["WARC-Payload-Digest"] == f["WARC-Payload-Digest"]
