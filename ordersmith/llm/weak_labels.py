@@ -6,7 +6,8 @@ each votes on bad and on good texts, and how many texts are bad; no labelled
 row is used.  Only the votes' patterns matter to it, of which there are at
 most ``2 ** VOTERS``.  The posterior of each text's pattern is then the target of
 a logistic scorer on hashed features (word shapes, pairs of them, and binned
-statistics), fitted on a bounded sample and applied to every whole text.
+statistics), fitted on a bounded sample of rows (``FIT_ROWS``, about, drawn row
+by row, repeated rows too) and applied to every whole text.
 
 Null and empty texts have no votes and no shapes: they get the bias alone.
 An empty table gives an empty result.
@@ -164,8 +165,10 @@ def train(docs: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[LabelModel, np.nda
             x = features_of(data, off, r).astype(np.float16)
             yield pa.RecordBatch.from_arrays([T.column(b, "doc_id"), pa.array(votes_of(r)), pa.array([q.tobytes() for q in x], pa.binary())], names=["doc_id", "pattern", "x"])
 
+    # repeated rows go each by its own place, so that they are thinned like all others
     every = -(-int(got["n"].sum()) // fit_rows) or 1
-    s = d.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).mapInArrow(rows, "doc_id long, pattern long, x binary").toPandas().sort_values(["doc_id", "pattern"], kind="stable")
+    d = d.withColumn("place", F.monotonically_increasing_id())
+    s = d.where(F.pmod(F.xxhash64("doc_id", "place"), F.lit(every)) == 0).drop("place").mapInArrow(rows, "doc_id long, pattern long, x binary").toPandas().sort_values(["doc_id", "pattern"], kind="stable")
     x = np.frombuffer(b"".join(s["x"]), np.float16).reshape(-1, DIMENSIONS).astype(np.float32)
     w, bias = fit_scorer(x, model.posterior(s["pattern"].to_numpy(np.int64)))
     return model, w, bias
