@@ -197,8 +197,10 @@ LABELLED = 20_000
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int = LABELLED, keep: Column | None = None) -> DataFrame:
-    """Texts with a label of 0 or 1: of all labelled ids, or of every k-th by hash so
-    that about ``most`` are left.  An id labelled twice counts with its larger label."""
+    """Distinct texts with a label of 0 or 1: of all labelled ids, or of every k-th by hash
+    so that about ``most`` are left.  An id labelled twice counts with its larger label.
+    Repeated rows count once, and where one id stands on many texts the rows are thinned
+    again by a hash of id and text, so that no table's repeats pass the bound."""
     lab = labels.select(F.col("doc_id").cast("long").alias("l_id"), F.col(label).cast("int").alias("label")).where("l_id is not null and label in (0, 1)")
     if keep is not None:
         lab = lab.where(keep)
@@ -206,7 +208,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int =
     lab = lab.where(F.pmod(F.xxhash64("l_id"), F.lit(-(-lab.count() // most) or 1)) == 0)
     d = texts(docs)
     # about `most` ids of 12 bytes: small enough to send to every task
-    return d.join(F.broadcast(lab), d["doc_id"] == lab["l_id"]).select("doc_id", "text", "label")
+    rows = d.join(F.broadcast(lab), d["doc_id"] == lab["l_id"]).select("doc_id", "text", "label")
+    rows = rows.withColumns({"h1": F.xxhash64("doc_id", "text"), "h2": F.xxhash64("text", "doc_id")})
+    # only keys are shuffled to be counted; the texts of those that stay are then told apart
+    n = rows.groupBy("h1", "h2").agg(F.lit(1).alias("one")).count()
+    thin = rows.where(F.pmod(F.xxhash64("h1", "h2"), F.lit(-(-n // (2 * most)) or 1)) == 0) if n > 2 * most else rows
+    return thin.groupBy("doc_id", "h1", "h2").agg(F.first("text").alias("text"), F.first("label").alias("label")).select("doc_id", "text", "label")
 
 
 def learn_rules(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> list[Rule]:
