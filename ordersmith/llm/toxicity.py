@@ -6,8 +6,9 @@ speech are word lists below.  Three small transducers rewrite what it emits:
 negation turns an insult or threat that closely follows into its negated form,
 reported speech into its reported form, a target in the clause into its aimed
 form.  Their composition is one table; a clause that holds an insult or threat
-is run through it, and each matched form has a weight estimated from labels.
-The clauses of a text add up to its score.
+is run through it, and each matched form has a weight: a belief (a negated or
+reported insult and an unaimed threat say nothing) moved by the labels of the
+texts in which the form occurs.  The clauses of a text add up to its score.
 
 Null, empty and unmatched texts get the score of a text without matches.
 Labels are read in training only; a text's score depends on its words alone.
@@ -21,7 +22,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textops as T
@@ -78,7 +79,7 @@ def _marks(symbols, mark: int) -> dict:
 
 def grammar() -> Transducer:
     """Negation (which reaches four words on), reported speech and target (which reach
-    to the clause's end), composed."""
+    to the clause's end; a threat also takes a target up to four words later), composed."""
     base = [OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT]
     hits = [INSULT, THREAT]
     reach = 4
@@ -89,11 +90,21 @@ def grammar() -> Transducer:
     some = [h | m for h in hits for m in (0, NEGATED)]
     report = Transducer({0: {REPORT: (1, REPORT)}, 1: {h: (1, h | REPORTED) for h in some}}, {0: 0, 1: 1})
     some = [h | r for h in some for r in (0, REPORTED)]
-    target = Transducer({0: {TARGET: (1, TARGET)}, 1: {h: (1, h | AIMED) for h in some}}, {0: 0, 1: 1})
+    # before any target, a threat waits up to four words for the one it is aimed at ("kill you")
+    wait = {(f, k): 1 + i for i, (f, k) in enumerate((f, k) for f in some if f & 7 == THREAT for k in range(1, reach + 1))}
+    aimed = 1 + len(wait)
+    after = {f: (wait[f, reach], f) for f in some if f & 7 == THREAT}
+    steps: dict = {0: {TARGET: (aimed, TARGET), **after}, aimed: {h: (aimed, h | AIMED) for h in some}}
+    idle = {0: 0, aimed: aimed}
+    for (f, k), state in wait.items():
+        steps[state] = {TARGET: (aimed, f | AIMED), **after}
+        idle[state] = wait.get((f, k - 1), 0)
+    target = Transducer(steps, idle)
     return negation.then(report, base).then(target, base)
 
 
 FORMS = [h | n | r | a for h in (INSULT, THREAT) for n in (0, NEGATED) for r in (0, REPORTED) for a in (0, AIMED)]
+PLACE = {f: i for i, f in enumerate(FORMS)}
 
 
 @dataclass
@@ -206,9 +217,17 @@ class Reader:
         """Each document's sum over clauses of its strongest match."""
         out = np.zeros(len(off) - 1)
         for i, found in self.clauses(data, off):
-            out[i] += max(max(0.0, w + self.g.forms.get(f, 0.0)) for f, w in found)
+            out[i] += self.worth(found)
         return out
 
+    def strongest(self, found: list[tuple[int, float]]) -> tuple[int, float]:
+        """The match of largest weight in a clause, ties by form."""
+        return max(found, key=lambda m: (m[1] + self.g.forms.get(m[0], 0.0), m))
+
+    def worth(self, found: list[tuple[int, float]]) -> float:
+        f, w = self.strongest(found)
+        return max(0.0, w + self.g.forms.get(f, 0.0))
+
     def scores(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.g.slope * self.sums(data, off) + self.g.bias, -50, 50)))
 
@@ -221,9 +240,7 @@ def _candidates(sample: DataFrame) -> tuple[list[tuple[str, str, int, int]], int
         for b in T.blocks(batches):
             label = T.column(b, "label").to_pylist()
             for text, y in zip(T.column(b, "text").to_pylist(), label, strict=True):
-                data, off = T.utf8(pa.array([text.lower()], pa.string()))
-                s, e, _ = letter_words(data, off)
-                words = {data[a:z].tobytes().decode("utf-8", "replace") for a, z in zip(s, e, strict=True)}
+                words = _text_words(text)
                 keys = {("w", w) for w in words if len(w) > 1} | {("p", w[:k]) for w in words for k in PREFIXES if len(w) > k}
                 for key in keys:
                     held.setdefault(key, [0, 0])[y] += 1
@@ -253,22 +270,57 @@ def _weight(toxic: int, clean: int, t: int, c: int) -> float:
 
 
 def _unlike(sample: DataFrame) -> DataFrame:
-    """One text of each group of copies, else the words of one much-copied text look
-    like patterns.  Near copies mostly share a MinHash minimum; three in turn leave few."""
+    """One text of each group of near copies with the same label, else the words of one
+    much-copied text look like patterns.  Texts that share a MinHash minimum are compared
+    with the one of least hash among them, on their full sets of five-word shingles; those
+    at 0.8 or more go.  Three minima in turn leave few copies; texts that only share a
+    passage stay."""
 
     def run(batches):
         mh = T.MinHash(3)
         for b in T.blocks(batches):
             h, doc, _, _ = T.words(*T.utf8(T.column(b, "text")))
-            sig = mh.signatures(*T.shingles(h, doc, 5, b.num_rows), b.num_rows).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([T.column(b, "text"), T.column(b, "label"), *(pa.array(sig[:, i]) for i in range(3))], names=["text", "label", "m0", "m1", "m2"])
+            sh, d = T.shingles(h, doc, 5, b.num_rows)
+            sig = mh.signatures(sh, d, b.num_rows).astype(np.int64)
+            sets = [s.astype(np.int64) for s in T.sets(sh, d, b.num_rows)]
+            yield pa.RecordBatch.from_arrays([T.column(b, "text"), T.column(b, "label"), *(pa.array(sig[:, i]) for i in range(3)), pa.array(sets, pa.list_(pa.int64()))],
+                                             names=["text", "label", "m0", "m1", "m2", "shingles"])
 
-    out = sample.mapInArrow(run, "text string, label int, m0 long, m1 long, m2 long")
+    out = sample.mapInArrow(run, "text string, label int, m0 long, m1 long, m2 long, shingles array<long>").withColumn("h", F.xxhash64("text"))
     for m in ("m0", "m1", "m2"):
-        out = out.groupBy(m).agg(F.min(F.struct(F.hash("text").alias("h"), "text", "label", *(k for k in ("m0", "m1", "m2") if k != m))).alias("r")).select(m, "r.*").drop("h")
+        w = Window.partitionBy("label", m).orderBy("h", "text")
+        first, both = F.col("first"), F.size(F.array_intersect("shingles", "first"))
+        near = 5 * both >= 4 * (F.size("shingles") + F.size(first) - both)  # texts without words are all alike
+        out = out.withColumns({"first": F.first("shingles").over(w), "place": F.row_number().over(w)}).where((F.col("place") == 1) | ~near).drop("first", "place")
     return out.select("text", "label")
 
 
+def _text_words(text: str) -> set[str]:
+    data, off = T.utf8(pa.array([text.lower()], pa.string()))
+    s, e, _ = letter_words(data, off)
+    return {data[a:z].tobytes().decode("utf-8", "replace") for a, z in zip(s, e, strict=True)}
+
+
+def _held(sample: DataFrame, cand: list[tuple[str, str, int, int]]) -> dict[tuple[str, str], set[int]]:
+    """The toxic texts of the sample that hold each candidate, by number; texts stay in the tasks."""
+    number = {(k, p): i for i, (k, p, _, _) in enumerate(cand)}
+
+    def run(batches):
+        for b in T.blocks(batches):
+            found = []
+            for text in T.column(b, "text").to_pylist():
+                words = _text_words(text)
+                keys = {("w", w) for w in words} | {("p", w[:k]) for w in words for k in PREFIXES if len(w) > k}
+                found.append(sorted(number[k] for k in keys if k in number))
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], names=["held"])
+
+    where: dict[tuple[str, str], set[int]] = {(k, p): set() for k, p, _, _ in cand}
+    for i, row in enumerate(sample.where("label = 1").mapInArrow(run, "held array<int>").collect()):
+        for j in row["held"]:
+            where[cand[j][:2]].add(i)
+    return where
+
+
 def train(docs: DataFrame, labels: DataFrame, fold: Column | None = None, most: int = LABELLED) -> Grammar:
     """Learn the lexicon and weights from a bounded sample of labelled texts (``labels.toxic``);
     ``fold`` says which labels may be used, by ``l_id``."""
@@ -282,15 +334,7 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column | None = None, most:
         return g
 
     # greedy covering of the toxic texts of the sample, a bounded number
-    toxic = sample.where("label = 1").select("text").toPandas()["text"]
-    where: dict[tuple[str, str], set[int]] = {(k, p): set() for k, p, _, _ in cand}
-    for i, text in enumerate(sorted(toxic)):
-        data, off = T.utf8(pa.array([text.lower()], pa.string()))
-        s, e, _ = letter_words(data, off)
-        words = {data[a:z].tobytes().decode("utf-8", "replace") for a, z in zip(s, e, strict=True)}
-        for key in {("w", w) for w in words} | {("p", w[:k]) for w in words for k in PREFIXES if len(w) > k}:
-            if key in where:
-                where[key].add(i)
+    where = _held(sample, cand)
     info = {(k, p): (x, y, _weight(x, y, t, c)) for k, p, x, y in cand}
     live = dict(where)
     covered: set[int] = set()
@@ -314,35 +358,68 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column | None = None, most:
         if x >= enough and info[kind, p][2] >= 3.0 and y <= 0.02 * x and not known:
             (g.words if kind == "w" else g.prefixes)[p] = info[kind, p][2]
 
-    # weights of the matched forms: how much more often clauses of that form stand in toxic texts, with a prior
+    g.forms = beliefs(g)
+
+    # per text: how many clauses have their strongest match in each form, and the words' weights in those
     def matched(batches):
         reader = Reader(g)
         for b in T.blocks(batches):
-            y = T.column(b, "label").to_pylist()
-            count: dict[tuple[int, int], int] = defaultdict(int)
+            count, weight = np.zeros((b.num_rows, len(FORMS))), np.zeros((b.num_rows, len(FORMS)))
             for i, found in reader.clauses(*lowered(b)):
-                for f in {f for f, _ in found}:
-                    count[f, y[i]] += 1
-            k = list(count)
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in k], pa.int64()), pa.array([x[1] for x in k], pa.int64()), pa.array([count[x] for x in k], pa.int64())], names=["form", "label", "n"])
+                f, w = reader.strongest(found)
+                count[i, PLACE[f]] += 1
+                weight[i, PLACE[f]] += w
+            yield pa.RecordBatch.from_arrays([T.column(b, "label"), pa.array(list(count), pa.list_(pa.float64())), pa.array(list(weight), pa.list_(pa.float64()))], names=["y", "count", "weight"])
+
+    got = sample.mapInArrow(matched, "y int, count array<double>, weight array<double>").toPandas()
+    got = got.iloc[np.lexsort([got["weight"].map(sum), got["count"].map(sum), got["y"]])]  # not the partitions' order
+    fit_forms(g, got["y"].to_numpy(float), np.stack(got["count"].to_list()), np.stack(got["weight"].to_list()))
+    return g
+
 
-    n = {(r["form"], r["label"]): r["n"] for r in sample.mapInArrow(matched, "form long, label long, n long").groupBy("form", "label").agg(F.sum("n").alias("n")).collect()}
+def beliefs(g: Grammar) -> dict[int, float]:
+    """Form weights before any data.  A word's weight stands for an insult: its negated form
+    is worth nothing, its reported form little, an aimed one more.  A threat word alone says
+    nothing ("kill a process"); aimed at someone, it is worth a typical insult."""
+    known = [*g.words.values(), *g.prefixes.values()]
+    typical, heaviest = (float(np.median(known)), max(known)) if known else (0.0, 0.0)
+    out = {}
     for f in FORMS:
-        a, b = n.get((f, 1), 0), n.get((f, 0), 0)
-        # belief before the data: a negated or reported insult is worth less, an aimed one more, a threat as much as an insult
-        belief = (-2.0 if f & NEGATED else 0.0) + (-1.5 if f & REPORTED else 0.0) + (0.5 if f & AIMED else 0.0) + (4.0 if f & 7 == THREAT else 0.0)
-        seen = np.log((a + 0.5) / (t + 1)) - np.log((b + 0.5) / (c + 1)) - (0.0 if f & 7 == THREAT else np.median(list((*g.words.values(), *g.prefixes.values())) or [0.0]))
-        trust = (a + b) / (a + b + 5.0)
-        g.forms[f] = float(trust * min(seen, belief if f & 7 == INSULT and not f & (NEGATED | REPORTED) else max(belief, seen)) + (1 - trust) * belief)
-
-    def totals(batches):
-        reader = Reader(g)
-        for b in T.blocks(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(reader.sums(*lowered(b))), T.column(b, "label")], names=["x", "y"])
+        v = 0.5 if f & AIMED else 0.0
+        if f & 7 == THREAT:
+            v = typical if f & AIMED else 0.0
+        out[f] = v + (-heaviest if f & NEGATED else 0.0) + (-0.9 * heaviest if f & REPORTED else 0.0)
+    return out
 
-    xy = sample.mapInArrow(totals, "x double, y int").toPandas()
-    g.slope, g.bias = _logistic(xy["x"].to_numpy(float), xy["y"].to_numpy(float))
-    return g
+
+def fit_forms(g: Grammar, y: np.ndarray, count: np.ndarray, weight: np.ndarray, spread: float = 1.0, rounds: int = 4) -> None:
+    """Form weights, slope and bias by penalised likelihood of the labels, in turn.
+
+    A text's evidence is the sum over forms of its clauses' word weights and form weights, a
+    clause at least 0.  All forms of a text share in explaining its label, so a form that
+    only accompanies others learns little; one that never occurs keeps its belief, and one
+    that occurs moves as far as the labels say, up or down (``spread``: deviation of the belief).
+    """
+    prior = np.array([g.forms[f] for f in FORMS])
+    v = prior.copy()
+
+    def evidence(v):
+        return np.maximum(weight + count * v, 0.0)
+
+    for _ in range(rounds):
+        x = evidence(v).sum(axis=1)
+        g.slope, g.bias = _logistic(x, y)
+        for _ in range(25):
+            p = 1 / (1 + np.exp(-np.clip(g.slope * evidence(v).sum(axis=1) + g.bias, -30, 30)))
+            moves = g.slope * count * (weight + count * v > 0)
+            grad = moves.T @ (p - y) + (v - prior) / spread**2
+            hess = (moves * (p * (1 - p))[:, None]).T @ moves + np.eye(len(v)) / spread**2
+            step = np.clip(np.linalg.solve(hess, grad), -1, 1)
+            v = v - step
+            if np.abs(step).max() < 1e-8:
+                break
+    g.forms = dict(zip(FORMS, map(float, v), strict=True))
+    g.slope, g.bias = _logistic(evidence(v).sum(axis=1), y)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, l2: float = 0.05, rounds: int = 50) -> tuple[float, float]:
@@ -370,7 +447,7 @@ def score(docs: DataFrame, g: Grammar) -> DataFrame:
             found = reader.clauses(data, off)
             total, n = np.zeros(b.num_rows), np.zeros(b.num_rows, np.int64)
             for i, m in found:
-                total[i] += max(max(0.0, w + g.forms.get(f, 0.0)) for f, w in m)
+                total[i] += reader.worth(m)
                 n[i] += 1
             p = 1 / (1 + np.exp(-np.clip(g.slope * total + g.bias, -50, 50)))
             yield pa.RecordBatch.from_arrays([T.column(b, "doc_id"), pa.array(p), pa.array((p >= 0.5).astype(np.int32)), pa.array(n)], names=["doc_id", "score", "predicted", "n_clauses"])
