@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -110,8 +111,8 @@ def segments(text: str, size: int = SEGMENT) -> list[str]:
 
 
 KEY = ["k1", "k2"]
-#: Bytes of trees and edits that may be sent to every task, at most.
-SENT_BYTES = 32 << 20
+#: Bytes of trees and edits that may be sent to every task, at most (Spark's own default for broadcasts).
+SENT_BYTES = 10 << 20
 
 _TREES = "doc_id long, k1 long, k2 long, lengths array<int>, counts array<int>"
 _ROWS = "doc_id long, k1 long, k2 long, text string, lengths array<int>, counts array<int>, n_tokens long, segments long, segments_encoded long"
@@ -182,13 +183,16 @@ def edit(kept: Kept, edits: DataFrame, tokenizer: str) -> DataFrame:
     listed = edits.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("seq", "start", "stop", "new"))).alias("edits"))
     work = written(kept.trees.join(listed, KEY).select(*KEY, "lengths", "counts", "edits"), "token-edits")
     size = work.agg(F.sum(F.size("lengths") * 8 + F.size("edits") * 48 + F.aggregate("edits", F.lit(64), lambda t, e: t + F.coalesce(F.octet_length(e["new"]), F.lit(0))))).first()[0]
-    # small: to every task; else both sides are dealt out by key, and the trees of a partition hashed
-    work = F.broadcast(work) if (size or 0) <= SENT_BYTES else work.hint("shuffle_hash")
+    if (size or 0) <= SENT_BYTES:  # to every task; texts stay where they are
+        met = kept.texts.join(F.broadcast(work), KEY).select("doc_id", *KEY, F.encode("text", "UTF-8").alias("packed"), F.lit(False).alias("z"), "lengths", "counts", "edits")
+    else:  # both sides are dealt out by key, texts compressed, and the trees of a partition hashed
+        met = _packed(kept.texts).join(work.hint("shuffle_hash"), KEY).select("doc_id", *KEY, "packed", F.lit(True).alias("z"), "lengths", "counts", "edits")
 
     def run(batches):
-        count = _counter(tokenizer)
-        for b in T.blocks(batches):
-            body, lengths, counts = (T.column(b, c).to_pylist() for c in ("text", "lengths", "counts"))
+        count, unpack = _counter(tokenizer), zstandard.ZstdDecompressor().decompress
+        for b in T.blocks(batches, "packed"):
+            z, packed, lengths, counts = (T.column(b, c).to_pylist() for c in ("z", "packed", "lengths", "counts"))
+            body = [(unpack(x) if y else x).decode("utf-8") for x, y in zip(packed, z, strict=True)]
             trees = []
             for text, size, n in zip(body, lengths, counts, strict=True):
                 at = np.concatenate([[0], np.cumsum(size, dtype=np.int64)]).astype(int)
@@ -201,7 +205,19 @@ def edit(kept: Kept, edits: DataFrame, tokenizer: str) -> DataFrame:
                  pa.array([t.levels[0].tolist() for t in trees], pa.list_(pa.int32())), pa.array(before, pa.int64()), pa.array(leaves, pa.int64()), pa.array([t.encoded for t in trees], pa.int64())],
                 names=["doc_id", *KEY, "text", "lengths", "counts", "n_tokens", "segments", "segments_encoded"])
 
-    return kept.texts.join(work, KEY).select("doc_id", *KEY, "text", "lengths", "counts", "edits").mapInArrow(run, _ROWS)
+    return met.mapInArrow(run, _ROWS)
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    """``doc_id, k1, k2`` and the text compressed."""
+
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for b in T.blocks(batches):
+            z = [pack(x.encode("utf-8")) for x in T.column(b, "text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(T.column(b, c) for c in ("doc_id", *KEY)), pa.array(z, pa.binary())], names=["doc_id", *KEY, "packed"])
+
+    return rows.select("doc_id", *KEY, "text").mapInArrow(run, "doc_id long, k1 long, k2 long, packed binary")
 
 
 def _tokens(counts: str) -> Column:
