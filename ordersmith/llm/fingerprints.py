@@ -18,6 +18,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -104,7 +105,7 @@ def edited_text(text: str, following: str) -> str:
 
 def packed_texts(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the text compressed (``z``), about a third of its bytes: what is
-    dealt out and sorted, so that whole texts cost less on the way."""
+    dealt out and sorted, so that whole texts cost less on the way.  ``z_bytes``: its bytes unpacked."""
 
     def run(batches):
         import zstandard
@@ -112,9 +113,9 @@ def packed_texts(docs: DataFrame) -> DataFrame:
         pack = zstandard.ZstdCompressor(level=3).compress
         for b in T.blocks(batches):
             col = T.column(b, "text").cast(pa.large_binary())
-            yield pa.RecordBatch.from_arrays([T.column(b, "doc_id"), pa.array([pack(x.as_buffer()) for x in col], pa.binary())], names=["doc_id", "z"])
+            yield pa.RecordBatch.from_arrays([T.column(b, "doc_id"), pa.array([pack(x.as_buffer()) for x in col], pa.binary()), pc.cast(pc.binary_length(col), pa.int64())], names=["doc_id", "z", "z_bytes"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, z binary")
+    return texts(docs).mapInArrow(run, "doc_id long, z binary, z_bytes long")
 
 
 def fingerprint_edits(docs: DataFrame, permutations: int = PERMUTATIONS, seed: int = 7) -> DataFrame:
@@ -130,12 +131,17 @@ def fingerprint_edits(docs: DataFrame, permutations: int = PERMUTATIONS, seed: i
         import zstandard
 
         mh = T.MinHash(permutations, seed)
-        for b in T.blocks(batches, "z", T.BLOCK_BYTES // 4):
+        for b in T.blocks(batches, "z", T.BLOCK_BYTES // 2, "z_bytes"):
             unpack = zstandard.ZstdDecompressor().decompress
-            text, following = ([unpack(x.as_buffer()).decode() for x in T.column(b, c)] for c in ("z", "next_z"))
-            edited = [edited_text(t, n) for t, n in zip(text, following, strict=True)]
-            own, key, size = _signatures(pa.array(text, pa.large_string()), mh)
-            nxt, ed = (_signatures(pa.array(x, pa.large_string()), mh)[0] for x in (following, edited))
+            # a row's following text is mostly the next row's own: each is unpacked and signed once
+            at: dict[bytes, int] = {}
+            mine, theirs = ([at.setdefault(x.as_py(), len(at)) for x in T.column(b, c)] for c in ("z", "next_z"))
+            each = [unpack(z).decode() for z in at]
+            sig, key, size = _signatures(pa.array(each, pa.large_string()), mh)
+            text = [each[i] for i in mine]
+            edited = [edited_text(t, each[i]) for t, i in zip(text, theirs, strict=True)]
+            ed = _signatures(pa.array(edited, pa.large_string()), mh)[0]
+            own, nxt, key, size = sig[mine], sig[theirs], key[:, mine], size[mine]
             yield pa.RecordBatch.from_arrays(
                 [T.column(b, "doc_id"), pa.array([len(t) for t in text], pa.int64()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited]), _bytes(own), _bytes(ed), pa.array(likeness(own, ed)), pa.array(likeness(own, nxt)),
                  pa.array(key[0].view(np.int64)), pa.array(key[1].view(np.int64)), pa.array(size)],

@@ -61,12 +61,14 @@ def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]:at[-1]], at - at[0]
 
 
-def blocks(batches, text: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in slices of at most ``limit`` text bytes (one row at least)."""
+def blocks(batches, text: str = "text", limit: int = BLOCK_BYTES, size_in: str | None = None) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices of at most ``limit`` text bytes (one row at least).
+    ``size_in``: the column that holds those bytes, where ``text`` itself is compressed."""
     for b in batches:
         if not b.num_rows:
             continue
-        size = np.cumsum(pc.fill_null(pc.binary_length(column(b, text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        size = column(b, size_in) if size_in else pc.binary_length(column(b, text))
+        size = np.cumsum(pc.fill_null(size, 0).to_numpy(zero_copy_only=False).astype(np.int64))
         lo = 0
         while lo < b.num_rows:
             hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + limit, "right")))
