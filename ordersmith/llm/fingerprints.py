@@ -14,9 +14,9 @@ with hot buckets split into blocks, and Jaccard is verified on full sets.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -57,43 +57,51 @@ def near_duplicates(docs: DataFrame, threshold: float = jaccard.THRESHOLD, recal
     return jaccard.groups(docs, permutations // rows, rows, seed, permutations, threshold)
 
 
-def with_next(df: DataFrame, ids: DataFrame, order: str, columns: list[str], parts: int | None = None) -> DataFrame:
-    """Each row with the given columns of the row after it in ascending ``order``
-    (after the last: of the first), as ``next_<column>``; ties are ordered by those columns.
-
-    Rows are dealt out by ranges of ``order``, and the first row of each range
-    also goes to the range before it, so no task sees more than a few ranges and
-    their successors' first rows.  Null is smaller than any value.  ``ids``:
-    the ``order`` column of the same rows from a cheap scan.
+def ranges(ids: DataFrame, order: str, parts: int | None = None) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]] | None:
+    """How to deal rows out by ranges of ``order`` (null is smaller than any value): for
+    values of it, the places of the rows to send, the range of each, and which of them
+    are halo.  The first row of each range also goes to the range before it (the first
+    row of all to the last), so no task sees more than a few ranges and their
+    successors' first rows.  ``ids``: that column from a cheap scan; None if it is empty.
     """
-    spark = df.sparkSession
+    spark = ids.sparkSession
     parts = parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     low = -(1 << 63)
-    ids = ids.select(F.coalesce(F.col(order), F.lit(low)).alias("k"))
-    cuts = np.array(sorted({int(x) for x in ids.approxQuantile("k", [i / parts for i in range(1, parts)], 0.1 / parts)}), np.int64)
-
-    @F.pandas_udf("int")
-    def range_of(k: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, k.to_numpy(np.int64), "right").astype(np.int32))
-
-    # a row for each range
-    firsts = {r["b"]: r["k"] for r in ids.groupBy(range_of("k").alias("b")).agg(F.min("k").alias("k")).collect()}
+    k = ids.select(F.coalesce(F.col(order), F.lit(low)).alias("k"))
+    found = sorted({int(x) for x in k.approxQuantile("k", [i / parts for i in range(1, parts)], 0.1 / parts)})
+    cuts = np.array(found, np.int64)
+
+    def least(batches):
+        for b in batches:
+            v = np.sort(b.column("k").to_numpy(zero_copy_only=False))
+            to, at = np.unique(np.searchsorted(cuts, v, "right"), return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(v[at], pa.int64())], names=["b", "k"])
+
+    # a row for each range that holds rows
+    firsts = {r["b"]: r["k"] for r in k.mapInArrow(least, "b int, k long").groupBy("b").agg(F.min("k").alias("k")).collect()}
     if not firsts:
-        return df.select("*", *(F.col(c).alias(f"next_{c}") for c in columns))
+        return None
     there = sorted(firsts)
-    heads = np.array([firsts[b] for b in there], np.int64)
-    before = np.array([there[i - 1] for i in range(len(there))], np.int32)  # the last range's rows are followed by the first row of all
+    heads = np.array([firsts[r] for r in there], np.int64)
+    before = np.array([there[i - 1] for i in range(len(there))], np.int32)
 
-    @F.pandas_udf("array<int>")
-    def ranges_of(k: pd.Series) -> pd.Series:
-        v = k.to_numpy(np.int64)
-        own = np.searchsorted(cuts, v, "right")
+    def deal(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        v = pc.fill_null(col, low).to_numpy(zero_copy_only=False)
+        own = np.searchsorted(cuts, v, "right").astype(np.int32)
         i = np.minimum(np.searchsorted(heads, v), len(heads) - 1)
-        return pd.Series([[int(o), int(before[j])] if heads[j] == x else [int(o)] for o, j, x in zip(own, i, v, strict=True)])
+        again = np.flatnonzero(heads[i] == v)
+        at = np.concatenate([np.arange(len(v)), again])
+        return at, np.concatenate([own, before[i[again]]]), np.arange(len(at)) >= len(v)
+
+    return deal
+
 
-    to = df.select("*", F.posexplode(ranges_of(F.coalesce(F.col(order), F.lit(low)))).alias("_halo", "_b"))
+def with_next(dealt: DataFrame, order: str, columns: list[str]) -> DataFrame:
+    """Each row with the given columns of the row after it in ascending ``order`` (after
+    the last: of the first), as ``next_<column>``; ties are ordered by those columns.
+    ``dealt``: rows with their range ``_b`` and ``_halo``, as ``ranges`` deals them out."""
     w = Window.partitionBy("_b").orderBy("_halo", F.col(order).asc_nulls_first(), *columns)
-    return to.select("*", *(F.lead(c).over(w).alias(f"next_{c}") for c in columns)).where("_halo = 0").drop("_b", "_halo")
+    return dealt.select("*", *(F.lead(c).over(w).alias(f"next_{c}") for c in columns)).where("not _halo").drop("_b", "_halo")
 
 
 def edited_text(text: str, following: str) -> str:
@@ -104,18 +112,23 @@ def edited_text(text: str, following: str) -> str:
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and the text compressed (``z``), about a third of its bytes: what is
-    dealt out and sorted, so that whole texts cost less on the way.  ``z_bytes``: its bytes unpacked."""
+    """``doc_id`` and the text compressed (``z``), about a third of its bytes, with its bytes
+    unpacked (``z_bytes``) and its range (``_b``, ``_halo``): what is dealt out and
+    sorted, so that whole texts cost less on the way."""
+    d = texts(docs)
+    deal = ranges(d.select("doc_id"), "doc_id")
 
     def run(batches):
         import zstandard
 
         pack = zstandard.ZstdCompressor(level=3).compress
         for b in T.blocks(batches):
-            col = T.column(b, "text").cast(pa.large_binary())
-            yield pa.RecordBatch.from_arrays([T.column(b, "doc_id"), pa.array([pack(x.as_buffer()) for x in col], pa.binary()), pc.cast(pc.binary_length(col), pa.int64())], names=["doc_id", "z", "z_bytes"])
+            col, ids = T.column(b, "text").cast(pa.large_binary()), T.column(b, "doc_id")
+            z, size = pa.array([pack(x.as_buffer()) for x in col], pa.binary()), pc.cast(pc.binary_length(col), pa.int64())
+            at, to, halo = deal(ids)
+            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(at)) for c in (ids, z, size)), pa.array(to), pa.array(halo)], names=["doc_id", "z", "z_bytes", "_b", "_halo"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, z binary, z_bytes long")
+    return d.mapInArrow(run, "doc_id long, z binary, z_bytes long, _b int, _halo boolean")
 
 
 def fingerprint_edits(docs: DataFrame, permutations: int = PERMUTATIONS, seed: int = 7) -> DataFrame:
@@ -125,7 +138,7 @@ def fingerprint_edits(docs: DataFrame, permutations: int = PERMUTATIONS, seed: i
     # a document without copies or links is its own class
     grouped = written(classes.where("n_copies > 1 or not class_id <=> copy_of").select(*jaccard.KEY, "class_id", F.lit(True).alias("grouped")), "fingerprints-classes")
     # a fingerprint is as costly to send as to make again, so texts alone are dealt out
-    f = with_next(packed_texts(docs), texts(docs).select("doc_id"), "doc_id", ["z"])
+    f = with_next(packed_texts(docs), "doc_id", ["z"])
 
     def run(batches):
         import zstandard
