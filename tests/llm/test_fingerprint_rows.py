@@ -3,7 +3,10 @@
 import hashlib
 from collections import Counter
 
+import pyarrow as pa
+
 from ordersmith.llm import fingerprints
+from ordersmith.llm import textops as T
 
 BASE = " ".join(f"w{i}" for i in range(60))
 ROWS = [(5, BASE), (1, "héllo 東京 🙂 ab"), (3, None), (2, ""), (9, BASE), (7, "x"), (8, "a b c d e f g " * 500), (-4, BASE.replace("w7 ", "z ")), (6, " \n\t ")]
@@ -40,3 +43,10 @@ def test_null_and_repeated_ids_over_many_ranges(llm, docs_of):
 
 def test_empty_table(llm, docs_of):
     assert fingerprints.fingerprint_edits(docs_of([])).collect() == []
+
+
+def test_blocks_are_bounded_by_unpacked_bytes():
+    sizes = [10, 10, 10, 90, 5, 0, 20]
+    batch = pa.RecordBatch.from_arrays([pa.array([b"z"] * len(sizes), pa.binary()), pa.array(sizes, pa.int64())], names=["z", "n"])
+    got = [b.column("n").to_pylist() for b in T.blocks([batch], "z", 30, "n")]
+    assert got == [[10, 10, 10], [90], [5, 0, 20]]
