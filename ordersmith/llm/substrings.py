@@ -180,12 +180,13 @@ def examine(packed: DataFrame, length: int, window: int, base: int) -> DataFrame
 
 def repeated_windows(rows: DataFrame) -> DataFrame:
     """``id, h, first, often``: the windows that repeat, and whether no document of smaller id holds them."""
-    w = Window.partitionBy("h", "g").orderBy("id")
-    # an open row for each task's share: a window of very many documents is few rows here
-    open_ = rows.where("not settled").select("id", "h", "times", F.row_number().over(w).alias("at"), F.lead("id").over(w).alias("next"))
-    open_ = open_.where((F.col("at") > 1) | F.col("next").isNotNull() | (F.col("times") >= REPEATED))
-    often = (F.col("times") % 2 == OFTEN).alias("often")
-    return open_.select("id", "h", (F.col("at") == 1).alias("first"), often).unionByName(rows.where("settled").select("id", "h", F.lit(False).alias("first"), often))
+    # settled rows are dealt out by their ids and stand alone; of the others there is one
+    # for each task's share: a window of very many documents is few rows in one place
+    alone = F.when(F.col("settled"), F.col("id"))
+    w = Window.partitionBy("h", "g", alone).orderBy("id")
+    out = rows.select("id", "h", "times", "settled", F.row_number().over(w).alias("at"), F.lead("id").over(w).alias("next"))
+    out = out.where(F.col("settled") | (F.col("at") > 1) | F.col("next").isNotNull() | (F.col("times") >= REPEATED))
+    return out.select("id", "h", (~F.col("settled") & (F.col("at") == 1)).alias("first"), (F.col("times") % 2 == OFTEN).alias("often"))
 
 
 def pack(docs: DataFrame) -> DataFrame:
@@ -258,7 +259,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, base: int = BASE) -> D
     # the first of several levels needs no order, so no join: copies drop out of its result
     level = body.withColumnRenamed("row", "id") if len(steps) > 1 else body.join(ranks, "row").select(F.col("rank").alias("id"), "z")
     for i, length in enumerate(steps):
-        found = repeated_windows(written(examine(level, length, window, base), f"substrings-{length}"))
+        # not written: a level's rows are shuffled once, and in one query with the cut
+        # below its join and this one read one shuffle of the texts
+        found = repeated_windows(examine(level, length, window, base))
         if length < window:
             passed = found.groupBy("id").agg(F.collect_list("h").alias("passed"))
             passed = passed.join(ranks, passed["id"] == ranks["rank" if i else "row"]).select("row", "rank", "passed")

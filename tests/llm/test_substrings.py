@@ -96,3 +96,11 @@ def test_doubled_hashes_tell_windows_apart():
         assert all(len(v) == 1 for v in by.values())
         assert len(by) == len(set().union(*by.values()))
         assert there.sum() == sum(max(0, int((doc == d).sum()) - length + 1) for d in range(5))
+
+
+def test_windows_are_shuffled_without_being_written(llm, docs_of, monkeypatch):
+    names, keep = [], substrings.written
+    monkeypatch.setattr(substrings, "written", lambda df, name: names.append(name) or keep(df, name))
+    rows = passages(5)
+    assert got(substrings.remove_repeats(docs_of(rows).repartition(5))) == brute(rows)
+    assert names == ["substrings-texts", "substrings-ranks", "substrings-cut"]
