@@ -95,3 +95,25 @@ def test_the_scratch_folder_goes_when_a_write_fails(spark, feeds):
         scratch = orders.rows.select(F.input_file_name().alias("f")).first()["f"].split("/ids=")[0].replace("file://", "")
         raise OSError
     assert not os.path.exists(scratch)
+
+
+@pytest.mark.parametrize("keep_null_ids", [False, True])
+def test_a_refresh_in_pieces_writes_the_same_tables(spark, feeds, in_pieces, keep_null_ids, monkeypatch):
+    m, s = feeds
+    write, dealt = pipeline.write_table, {}
+    monkeypatch.setattr(pipeline, "write_table", lambda df, path, layout: dealt.update({path.split("/")[-2]: df}) or write(df, path, layout))
+    paths = pipeline.full_refresh(spark, m, s, scratch_path(spark, "refresh"), AS_OF, keep_null_ids=keep_null_ids)
+    stack = pipeline.stacked(m, s, AS_OF)
+    canon = op.canonical_orders(stack, keep_null_ids=keep_null_ids)
+    expected = {"stg_amazon_orders": op.stage_marketplace(m, AS_OF), "stg_shopify_orders": op.stage_storefront(s, AS_OF),
+                "int_amazon_shopify_orders": stack, "int_orders_canonical": canon, "mart_fact_orders": op.fact_orders(canon)}
+    assert set(expected) == set(ORDER_GRAIN)
+    for name, df in expected.items():
+        assert same_rows(read_table(spark, paths[name], df.schema), df), name
+    # staging deals out the raw columns and the date, the canonical table the unified ones
+    assert dealt["stg_amazon_orders"].rows.columns == [*m.columns, "ingest_date"]
+    assert dealt["stg_shopify_orders"].rows.columns == [*s.columns, "order_date"]
+    assert dealt["int_orders_canonical"].rows.columns == [*stack.columns, "rn", sinks.PIECE]
+    fewer = pipeline.full_refresh(spark, m, s, scratch_path(spark, "refresh"), AS_OF, False, False, keep_null_ids)
+    assert len(fewer) == 6
+    assert same_rows(read_table(spark, fewer["mart_fact_orders"], expected["mart_fact_orders"].schema), expected["mart_fact_orders"])
